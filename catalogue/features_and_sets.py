@@ -71,18 +71,18 @@ def profile(
 
 @query("SELECT * FROM quarter_rows")
 def open_quarter(spark: SparkSession, sf: str) -> DataFrame:
-    return open_counts(profile(spark, sf, ("open_quarter",)), "open_quarter")
+    return open_counts(profile(spark, sf, ("open_quarter",)), CONFIG, "open_quarter")
 
 
 @query("SELECT * FROM year_rows")
 def open_year_reference(spark: SparkSession, sf: str) -> DataFrame:
-    return open_counts(profile(spark, sf, ("open_year",)), "open_year")
+    return open_counts(profile(spark, sf, ("open_year",)), CONFIG, "open_year")
 
 
 @query("SELECT * FROM rolling_rows")
 def open_year_rolling12(spark: SparkSession, sf: str) -> DataFrame:
     rolling = replace(CONFIG, year_window="rolling12")
-    return open_counts(profile(spark, sf, ("open_year",), rolling), "open_year")
+    return open_counts(profile(spark, sf, ("open_year",), rolling), rolling, "open_year")
 
 
 @query("SELECT * FROM first_rows")
@@ -183,7 +183,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 def training_accounts(spark: SparkSession, sf: str, behaviour: DataFrame) -> DataFrame:
     accounts = eligible_accounts(src.master(spark, sf), src.roles(spark, sf))
-    return dataset.active_accounts(accounts, open_counts(behaviour, "open_year"))
+    return dataset.active_accounts(accounts, open_counts(behaviour, CONFIG, "open_year"))
 
 
 def top_labels(spark: SparkSession, sf: str) -> DataFrame:

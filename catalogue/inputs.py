@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadlift.config import RunConfig
 from leadlift.plans.inputs import Inputs
@@ -37,8 +38,15 @@ CONFIG = RunConfig(
 )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; its schema is read from the file once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,9 +10,6 @@ from __future__ import annotations
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 class Window(NamedTuple):
     """Half-open range ``[lo, hi)`` of yyyymmdd integers for one period."""
@@ -76,9 +73,5 @@ def period_bounds(
     return out
 
 
-def within(column: str, window: Window) -> Column:
-    return (F.col(column) >= window.lo) & (F.col(column) < window.hi)
-
-
 def ymd(day: date) -> int:
     return day.year * 10000 + day.month * 100 + day.day

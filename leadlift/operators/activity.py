@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlift.config import RunConfig
-from leadlift.functions.periods import Window, period_bounds, quarter_ts14, within
+from leadlift.functions.periods import Window, period_bounds, quarter_ts14
 from leadlift.operators.joins import dimension_join
 
 FAMILIES = ("label", "open_quarter", "open_year", "first_open")
@@ -49,19 +49,8 @@ def windows(config: RunConfig, family: str, periods: int | None = None) -> list[
     )
 
 
-def _conditions(config: RunConfig, families: tuple[str, ...], periods: int | None, serving: bool):
-    """(family, window, predicate on a line) for every slot of the profile."""
-    statuses = {
-        "label": config.won_statuses,
-        "open_quarter": config.open_statuses,
-        "open_year": config.open_statuses,
-        "first_open": config.first_open,
-    }
-    for family in families:
-        status = F.col("status").isin(*statuses[family])
-        for w in windows(config, family, periods):
-            unbounded = serving and family == "open_quarter"
-            yield family, w, status if unbounded else status & within("status_ymd", w)
+def _in(column: str, values: tuple[str, ...]) -> str:
+    return f"{column} IN ({', '.join(repr(str(v)) for v in values)})"
 
 
 def line_profile(
@@ -78,23 +67,35 @@ def line_profile(
     a busy account nor a popular product gathers in one task.
     ``serving`` leaves the quarter counts without a date range.
     """
-    aggs = []
-    matched = F.lit(False)
-    for family, w, hit in _conditions(config, families, periods, serving):
-        matched = matched | hit
-        slot = f"{family}_{w.period}"
-        if family == "first_open":
-            aggs.append(F.min(F.when(hit, F.col("status_date"))).alias(slot))
-        else:
-            aggs.append(F.count_if(hit).alias(slot))
-    return lines.filter(matched).groupBy("account_id", "product_id").agg(*aggs)
+    statuses = {
+        "label": config.won_statuses,
+        "open_quarter": config.open_statuses,
+        "open_year": config.open_statuses,
+        "first_open": config.first_open,
+    }
+    unbounded = {"open_quarter"} if serving else set()
+    aggs, spans = [], []
+    for family in families:
+        status = _in("status", statuses[family])
+        for w in windows(config, family, periods):
+            hit = status
+            if family not in unbounded:
+                hit += f" AND status_ymd >= {w.lo} AND status_ymd < {w.hi}"
+                spans.append(w)
+            measure = f"min(if({hit}, status_date, NULL))" if family == "first_open" else f"count_if({hit})"
+            aggs.append(F.expr(f"{measure} AS {family}_{w.period}"))
+    # A plain range and code list around all windows, for the scan to skip rows by.
+    wanted = _in("status", tuple(dict.fromkeys(c for f in families for c in statuses[f])))
+    if not unbounded & set(families):
+        wanted += f" AND status_ymd >= {min(w.lo for w in spans)} AND status_ymd < {max(w.hi for w in spans)}"
+    return lines.filter(wanted).groupBy("account_id", "product_id").agg(*aggs)
 
 
 def node_profile(profile: DataFrame, nodes: DataFrame, accounts: DataFrame) -> DataFrame:
     """The profile rolled up from products to tree nodes, for known accounts."""
     slots = [c for c in profile.columns if c not in ("account_id", "product_id")]
     named = nodes.filter(F.trim("node_code") != "").select("product_id", "level", "node_code")
-    kept = dimension_join(profile, accounts.select("account_id").distinct(), "account_id", "left_semi")
+    kept = dimension_join(profile, accounts.select("account_id"), "account_id", "left_semi")
     return (
         dimension_join(kept, named, "product_id")
         .groupBy("account_id", "level", "node_code")

@@ -25,7 +25,7 @@ def buyers_by_node(
         .distinct()
     )
     named = nodes.filter(F.trim("node_code") != "").select("product_id", "node_code", "level")
-    kept = dimension_join(pairs, accounts.select("account_id").distinct(), "account_id", "left_semi")
+    kept = dimension_join(pairs, accounts.select("account_id"), "account_id", "left_semi")
     return (
         dimension_join(kept, named, "product_id")
         .select("node_code", "level", "account_id")

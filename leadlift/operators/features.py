@@ -16,80 +16,57 @@ PREFIX = {
 }
 
 
-def _slots(profile: DataFrame, family: str) -> list[int]:
+def _periods(profile: DataFrame, family: str) -> list[int]:
     head = f"{family}_"
     return sorted(int(c[len(head) :]) for c in profile.columns if c.startswith(head))
 
 
 def labels_by_period(profile: DataFrame) -> DataFrame:
     """Who bought which node in which period: count of won lines and label 1."""
-    slots = [
-        F.struct(F.lit(p).alias("period"), F.col(f"label_{p}").alias("count"))
-        for p in _slots(profile, "label")
-    ]
+    slots = ", ".join(f"struct({p} AS period, label_{p} AS count)" for p in _periods(profile, "label"))
     return (
-        profile.select("account_id", "level", "node_code", F.inline(F.array(*slots)))
-        .filter(F.col("count") > 0)
+        profile.selectExpr("account_id", "level", "node_code", f"inline(array({slots}))")
+        .filter("count > 0")
         .withColumn("label", F.lit(1))
     )
 
 
-def open_counts(profile: DataFrame, family: str) -> DataFrame:
-    """Open lines per (account, feature, period); ``family`` open_quarter or open_year."""
-    slots = [
-        F.struct(F.lit(p).alias("period"), F.col(f"{family}_{p}").alias("value"))
-        for p in _slots(profile, family)
-    ]
-    return profile.select(
-        "account_id",
-        F.concat(F.lit(PREFIX[family]), "node_code").alias("feature"),
-        F.inline(F.array(*slots)),
-    ).filter(F.col("value") > 0)
-
-
-def first_open_days(profile: DataFrame, config: RunConfig) -> DataFrame:
-    """Days from the first matching line to the start of each period."""
-    starts = {w.period: w.hi_date for w in windows(config, "first_open")}
-    slots = [
-        F.struct(
-            F.lit(p).alias("period"),
-            F.datediff(F.lit(starts[p]), F.col(f"first_open_{p}")).cast("long").alias("value"),
-        )
-        for p in _slots(profile, "first_open")
-    ]
-    return profile.select(
-        "account_id",
-        F.concat(F.lit(PREFIX["first_open"]), "node_code").alias("feature"),
-        F.inline(F.array(*slots)),
-    ).filter(F.col("value").isNotNull())
+def _feature_rows(profile: DataFrame, config: RunConfig, families: tuple[str, ...]) -> DataFrame:
+    """Long form of some families by one unnest: account_id, feature, period, value.
 
-
-def feature_rows(profile: DataFrame, config: RunConfig) -> DataFrame:
-    """All families in long form: account_id, feature, period, value.
-
-    One unnest of the profile; unioning the families would read it three times.
+    Counts of zero and nodes never opened before a period give no row.
     """
-    starts = {w.period: w.hi_date for w in windows(config, "first_open")}
     slots = []
-    for family, prefix in PREFIX.items():
-        for p in _slots(profile, family):
-            value = F.col(f"{family}_{p}")
+    for family in families:
+        starts = {w.period: w.hi_date for w in windows(config, family)}
+        for p in _periods(profile, family):
             if family == "first_open":
-                value = F.datediff(F.lit(starts[p]), value)
+                value = f"CAST(datediff(DATE '{starts[p]}', first_open_{p}) AS BIGINT)"
             else:
-                value = F.nullif(value, F.lit(0))
+                value = f"nullif({family}_{p}, 0L)"
             slots.append(
-                F.struct(
-                    F.concat(F.lit(prefix), "node_code").alias("feature"),
-                    F.lit(p).alias("period"),
-                    value.cast("long").alias("value"),
-                )
+                f"struct(concat('{PREFIX[family]}', node_code) AS feature, {p} AS period, {value} AS value)"
             )
-    return profile.select("account_id", F.inline(F.array(*slots))).filter(
-        F.col("value").isNotNull()
+    return profile.selectExpr("account_id", f"inline(array({', '.join(slots)}))").filter(
+        "value IS NOT NULL"
     )
 
 
+def open_counts(profile: DataFrame, config: RunConfig, family: str) -> DataFrame:
+    """Open lines per (account, feature, period); ``family`` open_quarter or open_year."""
+    return _feature_rows(profile, config, (family,))
+
+
+def first_open_days(profile: DataFrame, config: RunConfig) -> DataFrame:
+    """Days from the first matching line to the start of each period."""
+    return _feature_rows(profile, config, ("first_open",))
+
+
+def feature_rows(profile: DataFrame, config: RunConfig) -> DataFrame:
+    """All families; unioning them one by one would read the profile three times."""
+    return _feature_rows(profile, config, tuple(PREFIX))
+
+
 def wide(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """One column per feature name. Values are unique per key, so the sum is the value."""
     return rows.groupBy(*keys).pivot("feature", names).sum("value")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlift.config import LEVELS
+from leadlift.operators.joins import dimension_join
 from leadlift.sources.schemas import LEVEL_COLUMNS
 
 
@@ -69,4 +70,5 @@ def branch_nodes(tree: DataFrame, products: DataFrame, level: str) -> DataFrame:
         F.col(column).alias("node_code"),
         F.explode(F.array_distinct(F.array(*LEVEL_COLUMNS))).alias("product_code"),
     ).filter(F.trim("node_code") != "")
-    return on_path.join(products.select("product_code"), "product_code", "left_semi").distinct()
+    wanted = products.select("product_code")
+    return dimension_join(on_path, wanted, "product_code", "left_semi").distinct()

@@ -14,31 +14,42 @@ HOT_SHARE = 0.001
 SALTS = 64
 
 
-def _width(field: T.StructField) -> Column:
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-    if isinstance(field.dataType, T.AtomicType):
-        return F.lit(16)
-    return F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)) + 16
+def _width(field: T.StructField) -> str:
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, T.StringType):
+        return f"coalesce(octet_length({name}), 0) + 16"
+    if isinstance(field.dataType, T.AtomicType) and not isinstance(field.dataType, T.BinaryType):
+        return "16"
+    return f"coalesce(octet_length(to_json(struct({name}))), 0) + 16"
 
 
 def fits_broadcast(
     df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
 ) -> bool:
     """Whether ``df`` is within both bounds; reads at most ``rows + 1`` of its rows."""
-    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
-    probe = df.limit(rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")
-    )
+    width = " + ".join(_width(f) for f in df.schema.fields)
+    probe = df.limit(rows + 1).selectExpr("count(1) AS n", f"coalesce(sum({width}), 0) AS b")
     found = probe.first()
     return found["n"] <= rows and found["b"] <= size
 
 
-def hot_keys(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows; there are at most 1/share."""
-    total = facts.count()
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > F.lit(total * share)).select(*on)
+def hot_hashes(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of the rows; at most 1/share.
+
+    One pass with a heavy-hitter sketch and no shuffle of rows. Salting is right for
+    whatever keys this returns, so the sketch's error only costs balance.
+    """
+    most = int(1 / share)
+    found = facts.select(F.xxhash64(*on).alias("_h")).selectExpr(
+        f"approx_top_k(_h, {most}, {max(10 * most, 1000)}) AS top", "count(1) AS n"
+    )
+    row = found.first()
+    return [e["item"] for e in row["top"] if e["count"] > row["n"] * share]
+
+
+def hot_salt(df: DataFrame, on: list[str], hot: list[int], salts: int) -> Column:
+    """A number below ``salts`` for rows of hot keys, fixed by the row's values; else 0."""
+    return F.when(F.xxhash64(*on).isin(hot), salt(df.columns, salts)).otherwise(F.lit(0))
 
 
 def salted_join(
@@ -53,13 +64,13 @@ def salted_join(
 
     Only rows of hot keys are repeated on the other side.
     """
-    hot = hot_keys(facts, on, share).withColumn("_hot", F.lit(True))
-    spread = F.when(F.col("_hot"), salt(facts.columns, salts)).otherwise(F.lit(0))
-    left = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", spread).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = other.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    hot = hot_hashes(facts, on, share)
+    if not hot:
+        return facts.join(other, on, how)
+    left = facts.withColumn("_salt", hot_salt(facts, on, hot, salts))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = F.when(F.xxhash64(*on).isin(hot), every).otherwise(F.array(F.lit(0)))
+    right = other.withColumn("_salt", F.explode(copies))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

@@ -57,7 +57,7 @@ def scoring_vectors(
             serving=config.reference_apply,
         ),
         nodes,
-        inputs.dim.select("account_id").distinct(),
+        inputs.dim.select("account_id"),
     )
     base = accounts.select(
         "account_id", "master_code", "internal_segment", F.lit(1).alias("period")
@@ -126,7 +126,7 @@ def run_score(
 
     products = raw.select("product_code").distinct()
     target = inputs.target_lines(scoring_lines(inputs, config), config)
-    known = inputs.dim.select("account_id").distinct()
+    known = inputs.dim.select("account_id")
     opens = first_open_by_node(target, tree_nodes(inputs.tree), known, config)
     seen = existing_scores(previous, products, config.mode)
     opens = materialise(new_opens(opens, last_refresh(seen, products, config.as_of)), "opens")

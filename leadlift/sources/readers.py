@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadlift.operators.joins import dimension_join
 from leadlift.sources.schemas import conform
 
 
@@ -34,7 +35,7 @@ def existing_scores(scores: DataFrame, products: DataFrame, mode: str) -> DataFr
     """Earlier scores of the wanted products; a first run sees none of them."""
     if mode == "first":
         return scores.filter(F.lit(False))
-    return scores.join(products.select("product_code").distinct(), "product_code", "left_semi")
+    return dimension_join(scores, products.select("product_code"), "product_code", "left_semi")
 
 
 def with_suffix(df: DataFrame, year: str, column: str = "product_code") -> DataFrame:

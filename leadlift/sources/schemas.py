@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _I, _L, _D, _DATE = (
@@ -119,18 +118,12 @@ MODEL_METRICS = _schema(
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to ``schema``; absent columns become typed NULLs, bad values NULL."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (
-                (
-                    F.col(f.name)
-                    if df.schema[f.name].dataType == f.dataType
-                    else F.col(f.name).try_cast(f.dataType)
-                )
-                if f.name in have
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(f: T.StructField) -> str:
+        kind, name = f.dataType.simpleString(), f"`{f.name}`"
+        if f.name not in have:
+            return f"CAST(NULL AS {kind}) AS {name}"
+        return name if have[f.name] == f.dataType else f"try_cast({name} AS {kind}) AS {name}"
+
+    return df.selectExpr(*[column(f) for f in schema.fields])

@@ -43,3 +43,9 @@ def materialise(
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(read_schema or df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables, once nothing reads them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
