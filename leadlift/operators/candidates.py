@@ -50,7 +50,7 @@ def stalest_products(scores: DataFrame, year: str, n: int = 50) -> DataFrame:
     return (
         with_suffix(scores, year)
         .groupBy("product_code")
-        .agg(F.min("score_date").alias("score_date"))
+        .agg(F.min(F.col("score_date").try_cast("int")).cast("string").alias("score_date"))
         .orderBy("score_date", "product_code")
         .limit(n)
     )

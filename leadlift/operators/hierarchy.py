@@ -29,7 +29,8 @@ def tree_nodes(
         for c, name in zip(LEVEL_COLUMNS, LEVELS)
         if name in levels
     ]
-    return tree.select(F.col(key).alias("product_id"), F.inline(F.array(*nodes)))
+    kind = "array<struct<node_code:string,node_text:string,level:string>>"
+    return tree.select(F.col(key).alias("product_id"), F.inline(F.array(*nodes).cast(kind)))
 
 
 def full_paths(tree: DataFrame) -> DataFrame:
