@@ -1,0 +1,52 @@
+"""Registered queries against DuckDB on the smallest fixture tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as spark_entry
+from compare import TABLES, normal, types
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no fixture tables")
+
+# The driver compares every query at sf0.01; here one per family, on less data.
+NAMES = (
+    "labels_by_period consulting_lines eligible_accounts_segment candidate_products features_wide "
+    "apply_features stratified_sample training_set leakage_exclusion correlated_features "
+    "decile_from_percentile sweet_spot new_conversions exclude_flag interest_export small_sample "
+    "append_history_roundtrip nearest_neighbours tomek_pairs classification_report"
+).split()
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_sql(spark, db, name):
+    import pandas as pd
+
+    df = spark_entry.queries()[name](spark, SF)
+    rel = db.sql(spark_entry.oracle_sql()[name])
+    assert types((f.name, f.dataType.simpleString()) for f in df.schema.fields) == types(
+        zip(rel.columns, [str(t) for t in rel.types])
+    )
+    got = pd.DataFrame([tuple(r) for r in df.collect()], columns=df.columns, dtype=object)
+    want = pd.DataFrame(rel.fetchall(), columns=rel.columns, dtype=object)
+    assert normal(got) == normal(want)
+
+
+def test_entry_runs(spark):
+    out = spark_entry.entry(spark)
+    assert out.columns == ["report_date", "account_id", "interest_class", "model_name", "model_id", "percentile"]
+    assert out.count() > 0
+
+
+def test_every_oracle_has_a_query():
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
