@@ -17,6 +17,3 @@ def hash_uniform(*keys: str | Column, seed: int) -> Column:
     head = F.substring(F.md5(text), 1, 8)
     return F.conv(head, 16, 10).cast("double") / F.lit(4294967296.0)
 
-
-def salt(columns: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")

@@ -44,8 +44,8 @@ def eligible_accounts(
     """
     columns = ["account_id", *ATTRIBUTES, *(["parent_id"] if with_parent else [])]
     holders = roles.filter(F.col("role") != config.EXCLUDED_ROLE).select("account_id").distinct()
-    kept = master.filter(eligibility()).select(*columns).distinct()
-    kept = kept.join(holders, "account_id", "left_semi")
+    kept = master.filter(eligibility()).select(*columns)
+    kept = kept.join(holders, "account_id", "left_semi").distinct()
     if dim is None:
         return kept
     segments = dim.select("account_id", "market_segment").distinct()

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlift.functions.hashing import salt
-
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.001
-SALTS = 64
 
 
 def _width(field: T.StructField) -> str:
@@ -33,23 +31,44 @@ def fits_broadcast(
     return found["n"] <= rows and found["b"] <= size
 
 
-def hot_hashes(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows; at most 1/share.
+def task_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
 
-    One pass with a heavy-hitter sketch and no shuffle of rows. Salting is right for
-    whatever keys this returns, so the sketch's error only costs balance.
+def hot_keys(df: DataFrame, on: list[str], tasks: int, share: float) -> DataFrame:
+    """Hash and salt count of the keys that hold more than ``share`` of the rows.
+
+    At most 1/share rows. A key gets as many salts as it is fair shares of ``tasks``
+    tasks, and at least two. Found in one pass with a heavy-hitter sketch and no
+    shuffle of rows; salting is right for whatever keys this returns, so the
+    sketch's error only costs balance.
     """
-    most = int(1 / share)
-    found = facts.select(F.xxhash64(*on).alias("_h")).selectExpr(
-        f"approx_top_k(_h, {most}, {max(10 * most, 1000)}) AS top", "count(1) AS n"
+    most = max(1, int(1 / share))
+    row = (
+        df.select(F.xxhash64(*on).alias("_h"))
+        .selectExpr(
+            f"approx_top_k(_h, {most}, {min(max(10 * most, 1000), 1_000_000)}) AS top", "count(1) AS n"
+        )
+        .first()
     )
-    row = found.first()
-    return [e["item"] for e in row["top"] if e["count"] > row["n"] * share]
+    found = [
+        (e["item"], max(2, math.ceil(e["count"] / row["n"] * tasks)))
+        for e in row["top"]
+        if e["count"] > row["n"] * share
+    ]
+    return df.sparkSession.createDataFrame(found, "_h long, _salts int")
+
+
+def _with_salts(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """Add ``_salts``: the salt count of the row's key, 1 for most."""
+    marked = df.withColumn("_h", F.xxhash64(*on)).join(F.broadcast(hot), "_h", "left")
+    return marked.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_h")
 
 
-def hot_salt(df: DataFrame, on: list[str], hot: list[int], salts: int) -> Column:
-    """A number below ``salts`` for rows of hot keys, fixed by the row's values; else 0."""
-    return F.when(F.xxhash64(*on).isin(hot), salt(df.columns, salts)).otherwise(F.lit(0))
+def with_salt(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """Add ``_salt`` below the key's salt count, fixed by the row's values."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts")).cast("int")
+    return _with_salts(df, on, hot).withColumn("_salt", salt).drop("_salts")
 
 
 def salted_join(
@@ -57,20 +76,18 @@ def salted_join(
     other: DataFrame,
     on: list[str],
     how: str = "inner",
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
+    share: float | None = None,
 ) -> DataFrame:
-    """Shuffle join in which the facts of hot keys are spread over ``salts`` tasks.
+    """Shuffle join in which the facts of hot keys are spread over many tasks.
 
-    Only rows of hot keys are repeated on the other side.
+    Hot is more than two tasks' share of the rows. Only rows of hot keys are
+    repeated on the other side.
     """
-    hot = hot_hashes(facts, on, share)
-    if not hot:
-        return facts.join(other, on, how)
-    left = facts.withColumn("_salt", hot_salt(facts, on, hot, salts))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.when(F.xxhash64(*on).isin(hot), every).otherwise(F.array(F.lit(0)))
-    right = other.withColumn("_salt", F.explode(copies))
+    tasks = task_count(facts)
+    hot = hot_keys(facts, on, tasks, share or min(1.0, 2.0 / tasks))
+    left = with_salt(facts, on, hot)
+    right = _with_salts(other, on, hot)
+    right = right.withColumn("_salt", F.explode(F.expr("sequence(0, _salts - 1)"))).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -79,13 +96,13 @@ def dimension_join(
     dim: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Broadcast ``dim`` if it is measured to be small, else a salted shuffle join.
 
     ``how`` is one of inner, left, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim, BROADCAST_ROWS if max_rows is None else max_rows):
         return facts.join(F.broadcast(dim), keys, how)
     return salted_join(facts, dim, keys, how)

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from compare import TABLES, normal, types
+from leadlift.operators import joins
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no fixture tables")
@@ -42,6 +43,13 @@ def test_query_matches_sql(spark, db, name):
     assert normal(got) == normal(want)
 
 
+@pytest.mark.parametrize("name", ["labels_by_period", "rollup_level3", "new_conversions"])
+def test_query_matches_sql_without_broadcasts(spark, db, monkeypatch, name):
+    """The same with every measured join forced onto its salted shuffle form."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    test_query_matches_sql(spark, db, name)
+
+
 def test_entry_runs(spark):
     out = spark_entry.entry(spark)
     assert out.columns == ["report_date", "account_id", "interest_class", "model_name", "model_id", "percentile"]

@@ -1,8 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leadlift.operators import joins
-from leadlift.operators.joins import dimension_join, fits_broadcast, hot_hashes, salted_join
+from leadlift.operators.joins import (
+    dimension_join,
+    fits_broadcast,
+    hot_keys,
+    salted_join,
+    with_salt,
+)
 from leadlift.operators.positions import positions
 
 
@@ -30,26 +35,26 @@ def test_size_check(spark, dim):
 
 
 def test_hot_keys_are_found(spark, facts):
-    hot = hot_hashes(facts, ["k"], share=0.2)
     want = spark.sql("SELECT xxhash64(-1L) AS h").first()["h"]
-    assert hot == [want]
-    assert hot_hashes(facts.filter("false"), ["k"]) == []
+    # A third of the rows, so a third of the tasks.
+    assert [tuple(r) for r in hot_keys(facts, ["k"], 30, 0.2).collect()] == [(want, 10)]
+    assert hot_keys(facts.filter("false"), ["k"], 30, 0.2).count() == 0
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_and_broadcast_joins_agree(facts, dim, rows, how):
     plain = rows(facts.join(dim, "k", how))
-    assert rows(salted_join(facts, dim, ["k"], how, salts=8, share=0.01)) == plain
+    assert rows(salted_join(facts, dim, ["k"], how)) == plain
+    assert rows(salted_join(facts, dim, ["k"], how, share=0.01)) == plain
     assert rows(dimension_join(facts, dim, "k", how)) == plain
     assert rows(dimension_join(facts, dim, "k", how, max_rows=5)) == plain
 
 
-def test_salting_spreads_the_hot_key(spark, facts):
-    hot = hot_hashes(facts, ["k"], share=0.2)
-    used = facts.filter("k = -1").select(joins.hot_salt(facts, ["k"], hot, 16).alias("s"))
-    assert used.distinct().count() == 16
-    cold = facts.filter("k = 5").select(joins.hot_salt(facts, ["k"], hot, 16).alias("s"))
-    assert [r["s"] for r in cold.distinct().collect()] == [0]
+def test_salting_spreads_the_hot_key_only(spark, facts):
+    salted = with_salt(facts, ["k"], hot_keys(facts, ["k"], 30, 0.2))
+    sizes = [r["count"] for r in salted.filter("k = -1").groupBy("_salt").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200
+    assert salted.filter("(k <> -1 OR k IS NULL) AND _salt <> 0").count() == 0
 
 
 def test_positions_match_a_window(spark, rows):
