@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leadlift.operators.joins import dimension_join
 from leadlift.sources.scratch import materialise
 
 
@@ -45,7 +44,8 @@ def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
         ),
         "spans",
     )
-    return dimension_join(placed, spans, [*group, "_part"]).select(
+    # Usually broadcast by its file size; else no key has more than a partition's rows.
+    return placed.join(spans, [*group, "_part"]).select(
         *df.columns,
         (F.col("_pos") - F.col("_first") + F.col("_before") + 1).alias("position"),
         "group_size",
