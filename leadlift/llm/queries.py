@@ -1,4 +1,16 @@
 """Every query of the subpackage, by name, with its SQL where SQL can express it."""
 
-from leadlift.llm import language, packing, quality  # noqa: F401
+import corpus_pipeline  # noqa: F401
+from leadlift.llm import (  # noqa: F401
+    benchmark,
+    language,
+    lines,
+    markup,
+    near,
+    packing,
+    paragraphs,
+    personal,
+    quality,
+    treeweight,
+)
 from leadlift.llm.common import ORACLES, QUERIES  # noqa: F401
