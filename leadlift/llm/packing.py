@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ PIECES = fields(
 
 
 class Encoder:
-    """Token ids, as little-endian bytes, of what stands between blanks and line ends.
+    """Token ids, as 32-bit numbers of a little-endian machine, of what stands between blanks and line ends.
 
     The tokenizer joins nothing over white space, nor letters with the signs behind
     them, so each lower-cased word is encoded once and kept; the store starts anew when
@@ -49,19 +50,29 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.known, self.tokenizer, self.most = {}, Tokenizer.from_file(path), most
+        # The byte-level alphabet: printable bytes stand for themselves, the others follow on 255.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def ask(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def ask_word(self, word: str) -> bytes:
+        """Of lower-case letters alone, which nothing but the merges changes."""
+        if not word.isascii():
+            word = "".join(map(self.alphabet.__getitem__, word.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
 
     def learn(self, chunk: str) -> bytes:
         word = chunk.rstrip(self.SIGNS)
         if word.isalpha() and max(word) < "\u0130":
-            parts = [word.lower(), chunk[len(word) :]]
-            ids = b""
-            for part in parts:
-                if part not in self.known:
-                    self.known[part] = self.ask(part)
-                ids += self.known[part]
+            low, signs = word.lower(), chunk[len(word) :]
+            if low not in self.known:
+                self.known[low] = self.ask_word(low)
+            if signs not in self.known:
+                self.known[signs] = self.ask(signs)
+            ids = self.known[low] + self.known[signs]
         else:
             ids = self.ask(chunk)
         self.known[chunk] = ids
@@ -79,6 +90,16 @@ class Encoder:
         return b"".join(found)
 
 
+#: A worker's encoders, by path; what one task has encoded the next need not.
+ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    if path not in ENCODERS:
+        ENCODERS[path] = Encoder(path)
+    return ENCODERS[path]
+
+
 class Packer:
     """Sequences of at most ``window`` tokens from pieces (document, start, ids, total)."""
 
@@ -186,7 +207,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer or os.path.join(tokenizer_folder(), "word_bpe_49k.json"))
+        encoder = encoder_of(tokenizer or os.path.join(tokenizer_folder(), "word_bpe_49k.json"))
         end = np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(window, TaskContext.get().partitionId() << 32, max_open_tokens)
         for batch in slices(batches, 1 << 22):
