@@ -1,18 +1,18 @@
 """Language-model scores by context-tree weighting over binary-decomposed bytes.
 
 A text is its words, each closed by a blank, and one end sign. A byte is eight binary
-decisions, each with a context tree of its own: the ``DEPTH`` bytes before it, the
-nearest first, back to the blank before the word. A node's Krichevsky-Trofimov estimate
-depends on its counts of zeros and ones alone, so the trees come from counts that Spark
-sums: P_w = (P_e + product of the children's P_w) / 2, level by level from the leaves,
-with one shuffle each. Down from the root the mixture over all depths then gives
+decisions, each with a context tree of its own over the bytes before it, the nearest
+first. The first two symbols of a word see the blank and the ``TAIL`` bytes before it, those
+that follow see their own word, up to ``DEPTH`` bytes. A node's Krichevsky-Trofimov
+estimate depends on its counts of zeros and ones alone, so the trees come from counts
+that Spark sums: P_w = (P_e + product of the children's P_w) / 2, level by level from the
+leaves, with one shuffle each. Down from the root the mixture over all depths then gives
 each leaf its probability of a one.
 
-Counts come from the learning rows only. All words of all rows are in the tables,
-those not learnt from with no counts, so every context has its probability, and a
-word's score is worked out once. Tables of words and contexts grow with the corpus: what
-is broadcast is their head, the entries with at least 1 / ``HEAD`` of the occurrences, of
-which there are ``HEAD`` at most; the others are joined by a shuffle.
+Counts come from the learning rows only. Words and contexts of all rows are in the
+tables, those not learnt from with no counts, so each has its probability, worked out
+once. The tables grow with the corpus: what is broadcast is their head, the entries that
+occur most, ``WORDS`` and ``KEYS`` at most; the others are joined by a shuffle.
 
 Defined cases: NULL and empty texts are the end sign alone; repeated rows count and are
 scored each; a NULL doc_id is learnt from; without learning rows every bit costs one bit;
@@ -32,64 +32,91 @@ from pyspark.sql import functions as F
 
 from leadlift.llm.common import fields, query, remainder_column, scratch, slices, table, words
 
-DEPTH = 6
-HEAD = 400_000
+DEPTH, TAIL = 6, 3
+WORDS, KEYS = 400_000, 1_000_000
 END, BLANK = b"\n", 0x20
-MASK = (1 << 8 * DEPTH) - 1
 HALF = float(np.log(0.5))
 
 
 def count_words(docs: DataFrame, learn: Column, text: str, most: int = 400_000) -> DataFrame:
-    """(word, c): occurrences in learning rows, 0 for words of other rows only."""
-    out = fields(word="binary", c="long")
+    """(word, key, c): occurrences in learning rows of each word, or else of each start.
+
+    Words and starts of other rows only have 0.
+    """
+    out = fields(word="binary", key="long", c="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
 
-        def flush() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=out.names
-            )
+        def words_so_far() -> pa.RecordBatch:
+            n = len(counts)
+            got = [pa.array(counts.keys(), pa.binary()), pa.nulls(n, pa.int64()), pa.array(counts.values(), pa.int64())]
             counts.clear()
-            return got
+            return pa.RecordBatch.from_arrays(got, names=out.names)
 
         for batch in slices(batches, 1 << 22):
-            for value, learnt in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = [*words(value), END]
-                if learnt:
+            texts, learnt = [words(v) for v in batch.column(0).to_pylist()], batch.column(1).to_pylist()
+            for parts, known in zip(texts, learnt):
+                if known:
                     counts.update(parts)
+                    counts[END] += 1
                 else:
-                    for part in parts:
+                    for part in (*parts, END):
                         if part not in counts:
                             counts[part] = 0
             if len(counts) > most:
-                yield flush()
-        yield flush()
+                yield words_so_far()
+            keys, owner = starts(texts)
+            distinct, at = np.unique(keys, return_inverse=True)
+            c = np.bincount(at, weights=np.array(learnt, dtype=float)[owner], minlength=len(distinct)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(distinct), pa.binary()), pa.array(distinct), pa.array(c)], names=out.names)
+        yield words_so_far()
 
     parts = docs.select(F.col(text), learn.alias("learn")).mapInArrow(run, out)
-    return parts.groupBy("word").agg(F.sum("c").alias("c"))
+    return parts.groupBy("word", "key").agg(F.sum("c").alias("c"))
+
+
+def starts(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(context << 8 | symbol) of the first two symbols of all words and of the end signs.
+
+    With them the number of the text; before a text's first word lie zeros.
+    """
+    lead = b"\0" * TAIL + b" "
+    streams = [lead + b" ".join([*parts, END]) for parts in texts]
+    flat = np.frombuffer(b"".join(streams) + b" ", dtype=np.uint8).astype(np.int64)
+    ends = np.cumsum([len(x) for x in streams])
+    first = np.flatnonzero(flat[:-1] == BLANK) + 1
+    first = first[first < len(flat) - 1]
+    second = first[flat[first] != END[0]] + 1
+    before = np.zeros(len(first), dtype=np.int64)
+    for back in range(TAIL):
+        before |= flat[first - 2 - back] << (8 * back)
+    key0 = (before << 8 | BLANK) << 8 | flat[first]
+    inside = flat[first] != END[0]
+    key1 = ((before[inside] << 8 | BLANK) << 8 | flat[first[inside]]) << 8 | flat[second]
+    owner = np.searchsorted(ends, first, side="right")
+    return np.concatenate([key0, key1]), np.concatenate([owner, owner[inside]])
 
 
 def positions(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Of each symbol of the words: (context << 8 | symbol), and the number of its word."""
-    closed = [p if p == END else p + b" " for p in parts]
-    size = np.array([len(p) for p in closed])
+    """The same of the symbols that follow in the words, with the number of the word."""
+    closed = [b"" if p == END else p + b" " for p in parts]
+    size = np.array([len(p) for p in closed], dtype=np.int64)
     flat = np.frombuffer(b"".join(closed), dtype=np.uint8).astype(np.int64)
     owner = np.repeat(np.arange(len(closed)), size)
-    starts = np.cumsum(size) - size
-    place = np.arange(len(flat)) - np.repeat(starts, size)
-    context = np.zeros(len(flat), dtype=np.int64)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+    later = np.flatnonzero(place >= 2)
+    place, owner = place[later], owner[later]
+    context = np.zeros(len(later), dtype=np.int64)
     for back in range(1, DEPTH + 1):
-        byte = np.zeros(len(flat), dtype=np.int64)
-        byte[back:] = flat[:-back]
-        byte[place < back] = 0
-        byte[place == back - 1] = BLANK
+        byte = flat[np.maximum(later - back, 0)]
+        byte = np.where(place == back - 1, BLANK, np.where(place < back, 0, byte))
         context |= byte << (8 * (back - 1))
-    return context << 8 | flat, owner
+    return context << 8 | flat[later], owner
 
 
 def count_contexts(vocabulary: DataFrame, most: int = 2_000_000) -> DataFrame:
-    """(key, c, uses): deepest context and symbol, its count, and in how many words it is."""
+    """(key, c, uses): deepest context and symbol inside words, its count, and in how many words."""
     out = fields(key="long", c="long", uses="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,51 +207,69 @@ def bit_probabilities(contexts: DataFrame) -> DataFrame:
 
 
 def symbol_scores(contexts: DataFrame) -> DataFrame:
-    """(key, uses, lp): log10 probability of each symbol in its deepest context."""
+    """(key, c, uses, lp): log10 probability of each symbol in its deepest context."""
     symbol = F.col("key").bitwiseAND(F.lit(255).cast("long"))
-    bits = contexts.select("key", "uses", F.explode(bit_nodes(symbol)).alias("x"))
-    bits = bits.select("key", "uses", (F.col("key") - symbol).bitwiseOR(F.col("x.node")).alias("node"), "x.bit")
+    bits = contexts.select("key", "c", "uses", F.explode(bit_nodes(symbol)).alias("x"))
+    bits = bits.select("key", "c", "uses", (F.col("key") - symbol).bitwiseOR(F.col("x.node")).alias("node"), "x.bit")
     joined = bits.join(scratch(bit_probabilities(contexts), "ctw-bits"), "node")
     lp = F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))
-    return joined.groupBy("key").agg(F.max("uses").alias("uses"), F.sum(lp).alias("lp"))
-
+    return joined.groupBy("key").agg(F.max("c").alias("c"), F.max("uses").alias("uses"), F.sum(lp).alias("lp"))
 
-def head_of(scored: DataFrame, weight: str, total: int, columns: list[str]):
-    """Entries with at least 1 / HEAD of the total weight: HEAD at most."""
-    return scored.filter(F.col(weight) * HEAD >= total).filter(F.col(weight) > 0).select(*columns).toPandas()
 
+def head_of(rows: DataFrame, weight: str, most: int):
+    """The rows of greatest weight, ``most`` at most and none of weight 0.
 
-def word_scores(vocabulary: DataFrame) -> DataFrame:
-    """(word, c, lp) for every word."""
-    contexts = scratch(count_contexts(vocabulary), "contexts")
-    scored = scratch(symbol_scores(contexts), "symbols")
-    total = contexts.agg(F.sum("uses")).first()[0] or 0
-    head = head_of(scored, "uses", total, ["key", "lp"]).sort_values("key")
-    shared = vocabulary.sparkSession.sparkContext.broadcast((head["key"].to_numpy(), head["lp"].to_numpy()))
+    The bound is found among steps of a twelfth of a power of two, so few rows are counted.
+    """
+    step = F.floor(F.log2(F.col(weight).cast("double")) * 12).alias("step")
+    sizes = sorted(((r[0], r[1]) for r in rows.filter(F.col(weight) > 0).groupBy(step).count().collect()), reverse=True)
+    least, held = None, 0
+    for at, n in sizes:
+        if held + n > most:
+            break
+        least, held = at, held + n
+    chosen = rows.filter(F.lit(False)) if least is None else rows.filter((F.col(weight) > 0) & (step >= least))
+    return chosen.toPandas()
+
+
+def key_head(rows: DataFrame, weight: str):
+    head = head_of(rows.select("key", "lp", weight), weight, KEYS).sort_values("key")
+    return rows.sparkSession.sparkContext.broadcast((head["key"].to_numpy(np.int64), head["lp"].to_numpy(float)))
+
+
+def look_up(known: np.ndarray, lp: np.ndarray, key: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``lp`` by owner, and which keys are not known."""
+    if not len(known):
+        return np.zeros(n), np.ones(len(key), dtype=bool)
+    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+    found = known[at] == key
+    return np.bincount(owner[found], weights=lp[at[found]], minlength=n).astype(float), ~found
+
+
+def word_scores(vocabulary: DataFrame, scored: DataFrame) -> DataFrame:
+    """(word, c, lp): of every word the log10 probability from its third symbol on."""
+    shared = key_head(scored, "uses")
     out = fields(id="long", word="binary", c="long", lp="double", key="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per word with the sum over the head; a row per symbol outside it."""
         from pyspark import TaskContext
 
-        known, lp = shared.value
         next_id = TaskContext.get().partitionId() << 36
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
             key, owner = positions(batch.column(0).to_pylist())
-            at = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
-            found = known[at] == key if len(known) else np.zeros(len(key), dtype=bool)
-            part = np.bincount(owner[found], weights=lp[at[found]] if len(known) else None, minlength=n).astype(float)
+            part, far = look_up(*shared.value, key, owner, n)
             ids = np.arange(next_id, next_id + n)
             next_id += n
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(0), batch.column(1), pa.array(part), none], names=out.names)
-            rest, m = ids[owner[~found]], int((~found).sum())
+            m = int(far.sum())
             if m:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rest), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.array(key[~found])],
+                    [pa.array(ids[owner[far]]), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.array(key[far])],
                     names=out.names,
                 )
 
@@ -240,57 +285,71 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
 
     ``bits_per_byte`` is the model's code length over the text's bytes as words.
     """
-    vocabulary = scratch(count_words(docs, learn, text), "vocabulary")
+    counted = scratch(count_words(docs, learn, text), "counted")
+    vocabulary = counted.filter(F.col("word").isNotNull()).select("word", "c")
+    first = counted.filter(F.col("key").isNotNull()).select("key", "c", F.lit(0).cast("long").alias("uses"))
     totals = vocabulary.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     n, v = totals[0] or 0, totals[1]
+    contexts = scratch(first.unionByName(count_contexts(vocabulary)), "contexts")
+    symbols = scratch(symbol_scores(contexts), "symbols")
     base = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
-    scored = scratch(word_scores(vocabulary).withColumn("base", base), "words")
-    head = head_of(scored, "c", n, ["word", "c", "lp", "base"])
-    shared = docs.sparkSession.sparkContext.broadcast(
-        ({bytes(w): i for i, w in enumerate(head["word"])}, head["lp"].to_numpy(), head["base"].to_numpy())
-    )
+    scored = scratch(word_scores(vocabulary, symbols).withColumn("base", base), "words")
+    head = head_of(scored, "c", WORDS)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(({bytes(w): i for i, w in enumerate(head["word"])}, head["lp"].to_numpy(float), head["base"].to_numpy(float)))
+    shared_keys = key_head(symbols.filter("uses = 0"), "c")
     out = fields(
-        id="long", doc_id="long", learn="boolean", n_tokens="long", n_bytes="long", known="long", base="double", lp="double", word="binary"
-    )
+        id="long", doc_id="long", learn="boolean", n_tokens="long", n_bytes="long", known="long", base="double", lp="double",
+        word="binary", key="long",
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per text with the sums over the head; a row per word outside it."""
+        """A row per text with the sums over the heads; a row per word or start outside them."""
         from pyspark import TaskContext
 
         at_of, lp, base_of = shared.value
         next_id = TaskContext.get().partitionId() << 36
         for batch in slices(batches, 1 << 22):
-            rows, ids, rest = [], [], []
-            for key, learnt, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                parts = [*words(value), END]
+            texts = [words(v) for v in batch.column(2).to_pylist()]
+            n = len(texts)
+            key, owner = starts(texts)
+            start_lp, far_key = look_up(*shared_keys.value, key, owner, n)
+            sums, far_words, far_owner = [], [], []
+            for i, parts in enumerate(texts):
+                parts.append(END)
                 at = np.fromiter(map(at_of.get, parts, repeat(-1)), dtype=np.int64, count=len(parts))
                 inside = at[at >= 0]
-                rows.append(
-                    (next_id, key, learnt, len(parts), sum(map(len, parts)) + len(parts) - 1, len(inside), base_of[inside].sum(), lp[inside].sum())
-                )
+                sums.append((len(parts), sum(map(len, parts)) + len(parts) - 1, len(inside), base_of[inside].sum(), lp[inside].sum() + start_lp[i]))
                 if len(inside) < len(parts):
                     far = np.flatnonzero(at < 0).tolist()
-                    rest += [parts[i] for i in far]
-                    ids += [next_id] * len(far)
-                next_id += 1
-            columns = [pa.array(c, f) for c, f in zip(zip(*rows), [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64()])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rows), pa.binary())], names=out.names)
-            m = len(ids)
-            if m:
-                empty = [pa.nulls(m, t) for t in (pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), *empty, pa.array(rest, pa.binary())], names=out.names)
+                    far_words += [parts[j] for j in far]
+                    far_owner += [i] * len(far)
+            ids = np.arange(next_id, next_id + n)
+            next_id += n
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(zip(*sums), kinds)),
+                 pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names=out.names)
+            for of, far, words_far, keys_far in (
+                (np.array(far_owner, dtype=np.int64), len(far_words), far_words, None),
+                (owner[far_key], int(far_key.sum()), None, key[far_key]),
+            ):
+                if far:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[of]), pa.nulls(far, pa.int64()), pa.nulls(far, pa.bool_()), *(pa.nulls(far, k) for k in kinds),
+                         pa.nulls(far, pa.binary()) if words_far is None else pa.array(words_far, pa.binary()),
+                         pa.nulls(far, pa.int64()) if keys_far is None else pa.array(keys_far)], names=out.names)
 
     split = docs.select(F.col(doc_id).cast("long"), learn.alias("learn"), F.col(text)).mapInArrow(run, out)
     split = scratch(split, "text-parts")
-    rest = split.filter(F.col("word").isNotNull()).select("id", "word")
-    rest = rest.join(scored.select("word", "c", F.col("lp").alias("lp1"), F.col("base").alias("base1")), "word")
-    rest = rest.groupBy("id").agg(
-        F.count(F.when(F.col("c") > 0, 1)).alias("known1"),
-        F.sum("lp1").alias("lp1"),
-        F.sum("base1").alias("base1"),
-    )
-    whole = split.filter(F.col("word").isNull()).drop("word").join(rest, "id", "left")
     zero = F.lit(0.0)
+    by_word = split.filter(F.col("word").isNotNull()).select("id", "word").join(scored, "word").select(
+        "id", F.when(F.col("c") > 0, F.lit(1)).otherwise(0).alias("known1"), F.col("lp").alias("lp1"), F.col("base").alias("base1")
+    )
+    by_key = split.filter(F.col("key").isNotNull()).select("id", "key").join(symbols.select("key", F.col("lp").alias("lp1")), "key")
+    by_key = by_key.select("id", F.lit(0).alias("known1"), "lp1", zero.alias("base1"))
+    rest = by_word.unionByName(by_key).groupBy("id").agg(F.sum("known1").alias("known1"), F.sum("lp1").alias("lp1"), F.sum("base1").alias("base1"))
+    whole = split.filter(F.col("n_tokens").isNotNull()).drop("word", "key").join(rest, "id", "left")
     model = F.col("lp") + F.coalesce("lp1", zero)
     return whole.select(
         "doc_id",
