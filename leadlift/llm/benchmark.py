@@ -90,6 +90,17 @@ def windows_of(items: DataFrame, window: int) -> DataFrame:
     return cut.groupBy("win", "len").agg(F.collect_set("item").alias("items"))
 
 
+def cut(s: Column, size: int) -> Column:
+    return F.struct(s.alias("s"), F.lit(size).alias("len"), exact(part("w", s, size)).alias("win"))
+
+
+def short_windows(items: DataFrame, size: int) -> Column:
+    """Windows of ``size`` words that may be an item of as many."""
+    array = bits(items.filter(F.size("w") == size).select(mark("w", F.lit(0), size).alias("m")))
+    starts = F.sequence(F.lit(0), F.size("w") - size)
+    return F.transform(F.filter(starts, lambda s: within(array, mark("w", s, size))), lambda s: cut(s, size))
+
+
 def scan(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id"
 ) -> DataFrame:
@@ -109,9 +120,6 @@ def scan(
     d, h = row_key(doc_id, text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), d, h, words(text).alias("w"))
 
-    def cut(s: Column, size: int) -> Column:
-        return F.struct(s.alias("s"), F.lit(size).alias("len"), exact(part("w", s, size)).alias("win"))
-
     spots = F.filter(
         F.sequence(F.lit(0), F.size("w") - step, F.lit(step)), lambda s: within(array, mark("w", s, step))
     )
@@ -125,11 +133,7 @@ def scan(
     nothing = F.array().cast("array<struct<s:int,len:int,win:string>>")
     found = F.when(F.size("w") >= window, F.transform(F.array_distinct(reach), lambda s: cut(s, window))).otherwise(nothing)
     for size in short:
-        starts = items.filter(F.size("w") == size).select(mark("w", F.lit(0), size).alias("m"))
-        few = bits(starts)
-        spot = F.filter(F.sequence(F.lit(0), F.size("w") - size), lambda s, few=few, size=size: within(few, mark("w", s, size)))
-        more = F.when(F.size("w") >= size, F.transform(spot, lambda s, size=size: cut(s, size))).otherwise(nothing)
-        found = F.concat(found, more)
+        found = F.concat(found, F.when(F.size("w") >= size, short_windows(items, size)).otherwise(nothing))
     seen = scratch(rows.select("doc_id", "d", "h", F.size("w").cast("long").alias("n_words"), found.alias("found")), "seen")
 
     known_side = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
