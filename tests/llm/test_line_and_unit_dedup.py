@@ -1,0 +1,255 @@
+"""Line runs, repeated units, benchmark windows and personal data against brute force."""
+
+import hashlib
+import random
+import re
+
+import duckdb
+import pandas as pd
+import pytest
+
+from compare import normal
+from leadlift.llm import benchmark, lines, paragraphs, personal
+
+
+def key(doc_id):
+    return -(2**63) if doc_id is None else doc_id
+
+
+def brute_lines(rows, window):
+    """Of each row: lines, lines removed, and text left, by the definition."""
+    seqs = []
+    for doc_id, text in rows:
+        parts = [(i, " ".join(re.sub(r"[\t\x0b\f\r ]+", " ", x).strip(" ").lower().split(" "))) for i, x in enumerate((text or "").split("\n"))]
+        seqs.append([(i, x) for i, x in parts if x])
+    first = {}
+    for (doc_id, text), seq in zip(rows, seqs):
+        for p in range(len(seq) - window + 1):
+            run = tuple(x for _, x in seq[p : p + window])
+            place = (key(doc_id), text, seq[p][0])
+            if run not in first or place[::2] < first[run][::2]:
+                first[run] = place
+    out = []
+    for (doc_id, text), seq in zip(rows, seqs):
+        gone = set()
+        for p in range(len(seq) - window + 1):
+            run = tuple(x for _, x in seq[p : p + window])
+            if first[run] != (key(doc_id), text, seq[p][0]):
+                gone |= {i for i, _ in seq[p : p + window]}
+        left = None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+        out.append((doc_id, len(seq), len(gone), left))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("window", [1, 2, 3])
+def test_line_runs_equal_brute_force(documents, odd, window):
+    draw = random.Random(window)
+    rows = [r for r in odd if r[1] is not None and r[0] != 6] + [(1, None)]
+    rows += [(10 + i, "\n".join(draw.choice(["a", "B ", "c  d", "", "e", "f\tg"]) for _ in range(draw.randint(1, 12)))) for i in range(40)]
+    rows += [rows[-1], rows[-2]]
+    got = lines.dedup_lines(documents(rows), window)
+    got = sorted(((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got.collect()), key=repr)
+    assert got == brute_lines(rows, window)
+
+
+def test_line_runs_equal_their_sql(spark, documents):
+    draw = random.Random(5)
+    rows = [(i, "\n".join(draw.choice("abcde") for _ in range(draw.randint(1, 9)))) for i in range(50)] + [(99, None)]
+    got = lines.dedup_lines(documents(rows), 2).toPandas()
+    db = duckdb.connect()
+    db.register("rows", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    db.execute("CREATE TABLE documents AS SELECT * FROM rows")
+    rel = db.sql(lines.oracle(2))
+    want = pd.DataFrame(rel.fetchall(), columns=rel.columns, dtype=object)
+    assert normal(got.astype(object)) == normal(want)
+
+
+def test_window_minima_are_shared_by_equal_runs(documents):
+    """Any two equal runs of ``window`` lines have the same fingerprint inside."""
+    draw = random.Random(7)
+    docs = documents([(i, "\n".join(draw.choice("abcdefgh") for _ in range(30))) for i in range(6)])
+    for r in lines.fingerprints(docs, 4).collect():
+        hs, ps = r.hs, set(r.ps)
+        for s in range(len(hs) - 3):
+            least = min(hs[s : s + 4])
+            assert max(i for i in range(s, s + 4) if hs[i] == least) in ps
+
+
+def test_line_runs_of_an_empty_table(documents):
+    assert lines.dedup_lines(documents([])).collect() == []
+
+
+def brute_units(rows, least):
+    first = {}
+    for doc_id, text in rows:
+        for start, _, unit in paragraphs.units(text or ""):
+            if len(unit.split(" ")) >= least:
+                first.setdefault(unit, []).append((key(doc_id), start))
+    return {u: min(p) for u, p in first.items()}
+
+
+def test_units_keep_their_first_occurrence(documents, odd, words):
+    shared = "The quick one of all these jumps. " + words(1, 20) + ". " + words(2, 9) + "! End"
+    rows = [r for r in odd if r[1] is not None and r[0] not in (7,)]
+    rows += [(10 + i, f"{words(100 + i, 30)} {shared} {words(200 + i, 30)}.\n{words(300 + i, 12)}") for i in range(5)]
+    rows += [(20, words(300, 12).upper()), (21, "too short. too short."), (10, rows[-5][1])]
+    first = brute_units(rows, 6)
+    got = paragraphs.dedup_units(documents(rows)).collect()
+    assert len(got) == len(rows)
+    texts = {}
+    for doc_id, text in rows:
+        texts.setdefault(doc_id, text)
+    for r in got:
+        text = texts[r.doc_id]
+        want = [(s, e) for s, e, u in paragraphs.units(text) if len(u.split(" ")) >= 6 and first[u] != (key(r.doc_id), s)]
+        assert [(x.start, x.end) for x in r.removed] == want, r
+        assert r.n_removed == len(want) and r.n_units == len(list(paragraphs.units(text)))
+        for start, end in want:
+            assert text[start:end].strip() == text[start:end] and text[start:end] not in r.text
+        if not want:
+            assert r.text == text
+    by = {r.doc_id: r for r in got}
+    assert by[11].n_removed == 2 and by[20].text == "" and by[21].n_removed == 0
+    assert by[10].n_removed == 0
+
+
+def test_units_of_null_and_empty(documents):
+    got = paragraphs.dedup_units(documents([(1, None), (2, "")])).collect()
+    assert {(r.doc_id, r.n_units, r.text) for r in got} == {(1, 0, None), (2, 0, "")}
+    assert paragraphs.dedup_units(documents([])).collect() == []
+
+
+def brute_benchmark(rows, items, window=10):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    parse = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(low))
+    known = {}
+    for item, text in items:
+        w = parse(text)
+        n = min(window, len(w))
+        for s in range(len(w) - n + 1) if w else ():
+            known.setdefault(tuple(w[s : s + n]), set()).add(str(item))
+    out = []
+    for doc_id, text in rows:
+        w = parse(text)
+        hit, found = set(), set()
+        for n in {len(k) for k in known}:
+            for s in range(len(w) - n + 1):
+                got = known.get(tuple(w[s : s + n]))
+                if got:
+                    hit |= set(range(s, s + n))
+                    found |= got
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+def benchmark_rows(words):
+    draw = random.Random(3)
+    items = [(i, words(900 + i, draw.randint(10, 40))) for i in range(15)]
+    items += [(50, "Three short words"), (51, "one"), (52, None), (53, "..."), (54, items[0][1].upper()), (55, "ÀÉ Σ ΑΣ' b " * 3)]
+    rows = []
+    for i in range(60):
+        parts = words(i, draw.randint(0, 60)).split()
+        if i % 2:
+            item = (draw.choice(items)[1] or "").split()
+            a = draw.randint(0, max(0, len(item) - 1))
+            parts[len(parts) // 2 : len(parts) // 2] = item[a : a + draw.randint(8, 30)]
+        rows.append((10 + i, draw.choice([" ", "-- ", "\n"]).join(parts)))
+    rows += [(90, "three, SHORT words! one"), (91, "àÉ σ ΑΣ b àÉ σ ΑΣ b " * 2), (92, "ÀÉ Σ ΑΣ b " * 9)]
+    return items, rows
+
+
+def test_benchmark_windows_equal_brute_force(spark, documents, odd, words):
+    items, rows = benchmark_rows(words)
+    rows = [r for r in odd if r[0] not in (7,)] + rows
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = benchmark.report(documents(rows), table).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_benchmark(rows, items)
+
+
+def test_benchmark_windows_beyond_the_broadcast(spark, documents, words, monkeypatch):
+    monkeypatch.setattr(benchmark, "BROADCAST_WINDOWS", 0)
+    items, rows = benchmark_rows(words)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = benchmark.report(documents(rows), table).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_benchmark(rows, items)
+
+
+def test_benchmark_empty_tables(spark, documents, words):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [(r.n_hit, r.n_items) for r in benchmark.report(documents([(1, words(1, 30))]), none).collect()] == [(0, 0)]
+    some = spark.createDataFrame([(1, words(1, 30))], "item_id long, text string")
+    assert benchmark.report(documents([]), some).collect() == []
+
+
+def test_decontaminate_keeps_clean_rows_whole(spark, documents, words):
+    items = spark.createDataFrame([(1, words(1, 30))], "item_id long, text string")
+    docs = documents([(1, words(1, 30)), (2, words(2, 30)), (None, words(1, 30)), (3, None), (3, words(3, 12))])
+    left = benchmark.decontaminate(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == sorted([(2, words(2, 30)), (3, ""), (3, words(3, 12))])
+
+
+BASE = (
+    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+    ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+    ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")),
+    ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")),
+)
+
+
+def passes(kind, value):
+    digits = re.sub(r"[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in value.split("."))
+    if kind == "card":
+        doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+        return 16 <= len(digits) <= 19 and sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0
+    return kind != "phone" or 8 <= len(digits) <= 15
+
+
+def brute_personal(text):
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in BASE for m in p.finditer(text or "") if passes(k, m[0])]
+
+
+def test_personal_base_equals_brute_force(documents, odd):
+    draw = random.Random(11)
+    signs = ["a@b.c", "@", ".", "-", "x_y%", "1.2.3.4", "256", "0000255", "+1 (", ") ", "4111 1111 1111 1111", "5500-0000-0000-0004", "é", "\U0001f600", "\n", " ", "+", "9", "12", "c@d-e.f.g", "中"]
+    rows = [(10 + i, "".join(draw.choice(signs) for _ in range(draw.randint(1, 40)))) for i in range(300)]
+    rows += [r for r in odd if r[0] != 4] + [
+        (400, "a@b.c_d@e.f@g.h 1.2.3.4.5.6.7.8 300.1.1.1 +49 (0)30 1234-567 +1......2"),
+        (401, "a" * 60000 + "@" + "b" * 30000),
+        (402, "1." * 30000),
+        (403, "4 1" * 20000),
+        (404, "+1" + " " * 50000),
+    ]
+    got = {r.doc_id: r for r in personal.report(documents(rows)).collect()}
+    for doc_id, text in rows:
+        if doc_id not in (401, 402, 403, 404):
+            want = brute_personal(text)
+            r = got[doc_id]
+            assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), (text, want, r.spans)
+            assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(w.startswith(k) for w in want) for k, _ in BASE)
+            assert r.spans == ",".join(want)
+    assert got[402].n_ip == len(BASE[1][1].findall("1." * 30000))
+    assert len(got) == len({r[0] for r in rows})
+
+
+def test_personal_rows_that_repeat(documents):
+    got = personal.report(documents([(1, "a@b.c x"), (1, "a@b.c x"), (1, "z")])).collect()
+    assert sorted(r.spans for r in got) == ["", "email:0:5", "email:0:5"]
+    assert personal.report(documents([])).collect() == []
+
+
+def test_terms_that_give_an_entity_away(documents, words):
+    rows = [(i, words(i, 40)) for i in range(60)]
+    rows += [(100 + i, f"{words(100 + i, 30)} pseudonym, zorro@mail.org the {words(200 + i, 30)}") for i in range(3)]
+    rows += [(200 + i, f"the {words(300 + i, 30)} the") for i in range(40)]
+    got = {r.doc_id: r.spans for r in personal.report(documents(rows)).collect()}
+    for i in range(3):
+        text = rows[60 + i][1]
+        at = text.index("pseudonym")
+        assert got[100 + i].split(",") == [f"email:{text.index('zorro')}:{text.index('zorro') + 14}", f"term:{at}:{at + 9}"]
+    assert not any(s for i, s in got.items() if not 100 <= i < 103)
+    clean = {r.doc_id: r.text for r in personal.sanitise(documents(rows)).collect()}
+    assert "[TERM], [EMAIL] the" in clean[100] and clean[1] == rows[1][1]
