@@ -150,7 +150,7 @@ def disclosing(docs: DataFrame, near: DataFrame, support: int, threshold: float,
     both = near.groupBy("entity", "term").agg(
         F.count_distinct("d", "h").alias("n_both"), F.count_distinct("h").alias("texts")
     )
-    both = scratch(both.filter(F.col("texts") >= support), "pii-pairs")
+    both = both.filter(F.col("texts") >= support)
     n_entity = near.groupBy("entity").agg(F.count_distinct("d", "h").alias("n_entity"))
     parted = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+", -1))
     n_term = docs.select(F.explode(parted).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
@@ -167,7 +167,7 @@ def find(docs: DataFrame, support: int = 2, threshold: float = 0.5, doc_id: str
     points, the end exclusive.
     """
     base = scratch(mentions(docs, doc_id, text), "pii-mentions")
-    near = scratch(nearby_terms(base), "pii-near")
+    near = nearby_terms(base)
     telling = scratch(disclosing(docs, near, support, threshold, text), "pii-telling")
     terms = near.join(telling, ["entity", "term"], "left_semi").select("d", "h", F.lit(4).alias("kind"), "start", "end")
     spans = base.select("d", "h", "kind", "start", "end").unionByName(terms)
