@@ -159,13 +159,13 @@ def predict(
     The score is the corrected share of the text's n-grams that the language holds.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fitted)
+    model = spark.sparkContext.broadcast((fitted.languages, fitted.cells, fitted.chance))
     kept = [f for name in keep for f in docs.select(name).schema.fields]
     out = type(docs.schema)([*kept, *fields(lang_pred="string", score="double").fields])
     inside = docs.select(*keep, F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f: Filter = model.value
+        f = Filter(*model.value)
         for batch in slices(batches, 1 << 22):
             texts = batch.column(len(keep)).to_pylist()
             known = np.array([bool(x and LETTER.search(x)) for x in texts])

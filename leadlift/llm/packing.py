@@ -18,6 +18,8 @@ each; a NULL doc_id stays NULL; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -90,14 +92,12 @@ class Encoder:
         return b"".join(found)
 
 
-#: A worker's encoders, by path; what one task has encoded the next need not.
-ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder_of(path: str) -> Encoder:
-    if path not in ENCODERS:
-        ENCODERS[path] = Encoder(path)
-    return ENCODERS[path]
+    """The worker's encoder; what one of its tasks has encoded the next need not."""
+    store = sys.modules.setdefault("_leadlift_encoders", types.ModuleType("_leadlift_encoders"))
+    if path not in vars(store):
+        setattr(store, path, Encoder(path))
+    return getattr(store, path)
 
 
 class Packer:
