@@ -15,13 +15,14 @@ from leadlift.operators.activity import line_profile, node_profile, recent_lines
 from leadlift.operators.features import labels_by_period
 from leadlift.operators.hierarchy import full_paths, level_map, level_names, tree_nodes
 from leadlift.operators.joins import dimension_join
-from leadlift.plans.rollup import exported, rolled_up
+from leadlift.plans.rollup import exported, rolled_up, run_rollup
 from leadlift.sources import readers, sinks
 from leadlift.sources.schemas import HISTORY, SCORE, conform
 from leadlift.sources.scratch import materialise, scratch_path
 
 PRODUCT_LEVELS = ("LEVEL5", "LEVEL6")
 YEAR = CONFIG.hierarchy_year
+REFRESHED = 50  # the stalest products of a refresh
 
 # Share of an account's lines on a node that were won; many ties.
 VIEWS["node_dates"] = """
@@ -210,7 +211,7 @@ def fresh_opens(spark: SparkSession, sf: str, scores: DataFrame) -> DataFrame:
 GROUP BY product_code ORDER BY 2, 1 LIMIT 50"""
 )
 def stalest_products(spark: SparkSession, sf: str) -> DataFrame:
-    return candidates.stalest_products(base_scores(spark, sf), YEAR, CONFIG.refresh_products)
+    return candidates.stalest_products(base_scores(spark, sf), YEAR, REFRESHED)
 
 
 @query("SELECT product_code FROM available EXCEPT SELECT product_code FROM year_scores")
@@ -230,7 +231,7 @@ _DUE = "SELECT product_code FROM year_scores GROUP BY product_code ORDER BY min(
 @query(f"SELECT * FROM ranked_scores WHERE product_code IN ({_DUE})")
 def existing_scores_refresh(spark: SparkSession, sf: str) -> DataFrame:
     scores = ranked_scores(spark, sf)
-    due = candidates.stalest_products(scores, YEAR, CONFIG.refresh_products)
+    due = candidates.stalest_products(scores, YEAR, REFRESHED)
     return readers.existing_scores(scores, due, "refresh")
 
 
@@ -351,13 +352,24 @@ def interest_export_parent(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.interest_export(ranked, level_names(src.tree(spark, sf)), classes, parents)
 
 
+@query("SELECT e.*, p.parent_id FROM export_rows e LEFT JOIN parents p ON e.account_id = p.account_id")
+def rollup_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole roll-up run with parents: the export that it writes."""
+    root = scratch_path(spark, "rollup-run")
+    run_rollup(
+        spark, base_scores(spark, sf), src.tree(spark, sf), CONFIG, f"{root}/rollup", f"{root}/export",
+        dim=src.dim(spark, sf),
+    )
+    return spark.read.parquet(f"{root}/export")
+
+
 @query(
     """SELECT account_id, product_code, score, l3 FROM parent_scores
 ORDER BY CAST(('0x' || substr(md5(concat_ws('|', account_id, product_code, l3, '42')), 1, 8)) AS BIGINT),
          account_id, product_code, l3 LIMIT 1000"""
 )
 def small_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """The small-data switch: a top-n of all joined rows in hash order."""
+    """A sample to look at: a top-n of all joined rows in hash order."""
     picked = rollup.small_sample(parent_scores(spark, sf), CONFIG.seed)
     return picked.select("account_id", "product_code", "score", "l3")
 
@@ -380,6 +392,19 @@ def replace_product_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_table(spark, path, SCORE)
 
 
+@query(
+    """SELECT account_id, score_date, '00' || CAST(decile AS VARCHAR) AS product_code, exclude, logical_product,
+       percentile, decile, score
+FROM ranked_scores"""
+)
+def numeric_codes_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Products named by digits with leading zeros, written as folders and read back."""
+    scores = ranked_scores(spark, sf).withColumn("product_code", F.concat(F.lit("00"), F.col("decile").cast("string")))
+    path = scratch_path(spark, "digits")
+    sinks.replace_partitions(materialise(scores, "scores"), path)
+    return readers.read_table(spark, path, SCORE)
+
+
 @query("SELECT * FROM ranked_scores UNION ALL SELECT * FROM ranked_scores")
 def append_history_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     scores = materialise(ranked_scores(spark, sf), "scores")

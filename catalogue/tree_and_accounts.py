@@ -204,7 +204,7 @@ def candidate_products(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """SELECT node_code, level, buyers FROM buyers
 WHERE level IN ('LEVEL3', 'LEVEL4', 'LEVEL5', 'LEVEL6', 'LEVEL7') AND node_code IS NOT NULL
-ORDER BY buyers DESC, node_code LIMIT 1000"""
+ORDER BY buyers DESC, node_code"""
 )
 def candidate_levels(spark: SparkSession, sf: str) -> DataFrame:
     wanted = ("LEVEL3", "LEVEL4", "LEVEL5", "LEVEL6", "LEVEL7")

@@ -73,15 +73,14 @@ class RunConfig:
     history_months: int = 42
     candidate_months: int = 30
     min_accounts: int = 50
-    candidate_cap: int = 1000
-    refresh_products: int = 50
+    refresh_products: int | None = None  # how many of the stalest a refresh takes; it must be given
     train_fraction: float = 0.7
     correlation_threshold: float = 0.60
-    search_iterations: int = 50
+    search_iterations: int | None = None  # None: every setting of the grid
     folds: int = 5
     grid: dict = field(default_factory=lambda: dict(FOREST_GRID))
     parallelism: int = 4
-    models_per_pass: int = 20
+    nodes_per_pass: int = 2_000_000  # tree nodes of the models that one pass applies
     seed: int = 42
 
     @property

@@ -37,20 +37,22 @@ def buyers_by_node(
 
 
 def candidate_products(buyers: DataFrame, config: RunConfig) -> DataFrame:
-    """Nodes of the wanted levels, most buyers first, capped."""
-    return (
-        buyers.filter(F.col("level").isin(*config.wanted_levels) & F.col("node_code").isNotNull())
-        .orderBy(F.desc("buyers"), "node_code")
-        .limit(config.candidate_cap)
-    )
+    """Every node of the wanted levels, most buyers first.
+
+    A code that stands on several levels is taken at the first of them, so a code names
+    one model.
+    """
+    wanted = buyers.filter(F.col("level").isin(*config.wanted_levels) & F.col("node_code").isNotNull())
+    first = wanted.groupBy("node_code").agg(F.min_by(F.struct("level", "buyers"), "level").alias("_n"))
+    return first.select("node_code", "_n.level", "_n.buyers").orderBy(F.desc("buyers"), "node_code")
 
 
-def stalest_products(scores: DataFrame, year: str, n: int = 50) -> DataFrame:
+def stalest_products(scores: DataFrame, year: str, n: int) -> DataFrame:
     """The products whose scores are oldest, each once."""
     return (
         with_suffix(scores, year)
         .groupBy("product_code")
-        .agg(F.min(F.col("score_date").try_cast("int")).cast("string").alias("score_date"))
+        .agg(F.min(F.col("score_date").cast("int")).cast("string").alias("score_date"))
         .orderBy("score_date", "product_code")
         .limit(n)
     )

@@ -92,7 +92,7 @@ def training_rows(
 ) -> DataFrame:
     """Sampled rows of all products at once: product_code, account_id, period, label.
 
-    ``products`` are (code, level) pairs, at most the candidate cap. Each spine row
+    ``products`` are (code, level) pairs. Each spine row
     draws which products keep it as a negative, so rows that are sampled away are
     never built; buyers are then taken out of the negatives and added in full.
     """
@@ -122,8 +122,11 @@ def training_rows(
 
 
 def hash_split(rows: DataFrame, keys: list[str], fraction: float, seed: int) -> DataFrame:
-    """Add ``is_train``; a key is always on the same side."""
-    return rows.withColumn("is_train", hash_uniform(*keys, seed=seed) < fraction)
+    """Add ``is_train``; a key is always on the same side.
+
+    The draw is not the one that sampling makes from the same keys and seed.
+    """
+    return rows.withColumn("is_train", hash_uniform(*keys, F.lit("split"), seed=seed) < fraction)
 
 
 def join_blocks(base: DataFrame, blocks: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -131,15 +134,9 @@ def join_blocks(base: DataFrame, blocks: list[DataFrame], keys: list[str]) -> Da
     return reduce(lambda df, block: df.join(block, keys, "left"), blocks, base).na.fill(0)
 
 
-def category_values(accounts: DataFrame, column: str, most: int = 1000) -> list[str]:
-    """Sorted values of a code column; refuses a column that is not a short code list."""
-    found = [
-        r[0]
-        for r in accounts.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
-    ]
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values")
-    return sorted(found)
+def category_values(accounts: DataFrame, column: str) -> list[str]:
+    """Sorted values of a code column, each of which becomes a feature."""
+    return sorted(r[0] for r in accounts.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:

@@ -98,11 +98,16 @@ def dimension_join(
     how: str = "inner",
     max_rows: int | None = None,
 ) -> DataFrame:
-    """Broadcast ``dim`` if it is measured to be small, else a salted shuffle join.
+    """Join that leaves the choice to Spark, which knows the sizes once it has shuffled.
 
-    ``how`` is one of inner, left, left_semi and left_anti.
+    Adaptive execution broadcasts a small side and splits the rows of a hot key; no job
+    starts before the query's own. ``max_rows`` asks for a measured choice instead:
+    broadcast up to so many rows, else the salted shuffle join. ``how`` is one of inner,
+    left, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dim, BROADCAST_ROWS if max_rows is None else max_rows):
+    if max_rows is None:
+        return facts.join(dim, keys, how)
+    if fits_broadcast(dim, min(max_rows, BROADCAST_ROWS)):
         return facts.join(F.broadcast(dim), keys, how)
     return salted_join(facts, dim, keys, how)

@@ -27,7 +27,7 @@ def scores_with_parent(scores: DataFrame, level_map: DataFrame) -> DataFrame:
 
 
 def small_sample(joined: DataFrame, seed: int, n: int = 1000) -> DataFrame:
-    """The small-data mode: n rows in hash order, a top-n and not a full sort."""
+    """A sample to look at: n rows in hash order, a top-n and not a full sort. No run writes it."""
     draw = hash_uniform("account_id", "product_code", "l3", seed=seed)
     return joined.orderBy(draw, "account_id", "product_code", "l3").limit(n)
 
@@ -37,7 +37,7 @@ def rollup(joined: DataFrame) -> DataFrame:
 
     Dates are compared as numbers, which lets the aggregate hash instead of sort.
     """
-    last = F.max(F.col("score_date").try_cast("int")).cast("string")
+    last = F.max(F.col("score_date").cast("int")).cast("string")
     return joined.groupBy(F.col("l3").alias("product_code"), "account_id").agg(
         F.max("score").alias("score"), last.alias("score_date")
     )

@@ -15,16 +15,16 @@ from leadlift.operators.rollup import (
     rollup,
     rollup_inputs,
     scores_with_parent,
-    small_sample,
 )
+from leadlift.sources.readers import read_table
+from leadlift.sources.schemas import ROLLUP
+from leadlift.sources.scratch import run_scratch
 from leadlift.sources.sinks import overwrite
 
 
-def rolled_up(scores: DataFrame, tree: DataFrame, config: RunConfig, small: bool = False) -> DataFrame:
+def rolled_up(scores: DataFrame, tree: DataFrame, config: RunConfig) -> DataFrame:
     picked = rollup_inputs(scores, config.hierarchy_year)
     joined = scores_with_parent(picked, level_map(full_paths(tree)))
-    if small:
-        joined = small_sample(joined, config.seed)
     return ranked_rollup(rollup(joined))
 
 
@@ -43,10 +43,14 @@ def run_rollup(
     config: RunConfig,
     rollup_path: str,
     export_path: str,
-    small: bool = False,
     single_file: bool = False,
+    dim: DataFrame | None = None,
 ) -> None:
-    """Write the roll-up table, then the export from what was written."""
-    overwrite(rolled_up(scores, tree, config, small), rollup_path)
-    ranked = spark.read.parquet(rollup_path)
-    overwrite(exported(ranked, tree, None, config), export_path, single_file)
+    """Write the roll-up table, then the export from what was written.
+
+    ``dim``, the account table, adds each account's parent to the export.
+    """
+    with run_scratch(spark):
+        overwrite(rolled_up(scores, tree, config), rollup_path)
+        ranked = read_table(spark, rollup_path, ROLLUP)
+        overwrite(exported(ranked, tree, dim, config), export_path, single_file)

@@ -27,11 +27,12 @@ from leadlift.sources.readers import conversion_history, existing_scores, read_t
 from leadlift.sources.schemas import (
     CONVERSION,
     CONVERSION_CONSULTING,
+    MODEL_REGISTRY,
     SCORE,
     SCORE_CONSULTING,
     conform,
 )
-from leadlift.sources.scratch import materialise
+from leadlift.sources.scratch import materialise, run_scratch
 from leadlift.sources.sinks import append, dated_copy, replace_partitions
 
 
@@ -95,8 +96,23 @@ def run_score(
     """Score, record conversions, then replace the scored products.
 
     ``mode="first"`` scores every registered model and sees no earlier scores;
-    ``"refresh"`` takes the products whose scores are oldest.
+    ``"refresh"`` takes the ``refresh_products`` products whose scores are oldest.
     """
+    if config.mode != "first" and config.refresh_products is None:
+        raise ValueError("a refresh needs refresh_products")
+    with run_scratch(spark):
+        _score(spark, inputs, config, registry_path, scores_path, history_path, copies_path)
+
+
+def _score(
+    spark: SparkSession,
+    inputs: Inputs,
+    config: RunConfig,
+    registry_path: str,
+    scores_path: str,
+    history_path: str,
+    copies_path: str,
+) -> None:
     consulting = config.model_type == "consulting"
     score_schema = SCORE_CONSULTING if consulting else SCORE
     first = config.mode == "first"
@@ -107,7 +123,7 @@ def run_score(
         ),
         config.hierarchy_year,
     )
-    available = registered_models(spark.read.parquet(registry_path), config.model_type)
+    available = registered_models(read_table(spark, registry_path, MODEL_REGISTRY), config.model_type)
     if not first:
         due = stalest_products(previous, config.hierarchy_year, config.refresh_products)
         available = available.join(due.select("product_code"), "product_code", "left_semi")
@@ -121,7 +137,7 @@ def run_score(
     vectors, names = scoring_vectors(inputs, accounts, models, config)
     # Written before ranking: the range sort would run the models a second time.
     raw = materialise(
-        score_products(vectors, names, models, config.as_of, config.models_per_pass), "scores"
+        score_products(vectors, names, models, config.as_of, config.nodes_per_pass), "scores"
     )
 
     products = raw.select("product_code").distinct()
@@ -138,5 +154,6 @@ def run_score(
     dated_copy(converted.select("*", run_date), f"{copies_path}/history")
 
     staged = materialise(staged_scores(raw, accounts, opens, config), "staged")
-    replace_partitions(staged, scores_path)
+    # A product that was scored and has no rows left loses the ones it had.
+    replace_partitions(staged, scores_path, values=[m["product_code"] for m in models])
     dated_copy(staged.select("*", run_date), f"{copies_path}/staging")

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlift.operators.joins import dimension_join
-from leadlift.sources.schemas import conform
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet table projected to ``schema``; Spark prunes the rest."""
-    return conform(spark.read.parquet(path), schema)
+    """A parquet table under ``schema``; Spark prunes the rest.
+
+    The types of folder columns are the schema's too: a code of digits stays text.
+    """
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def read_recursive(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -117,13 +117,13 @@ MODEL_METRICS = _schema(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to ``schema``; absent columns become typed NULLs, bad values NULL."""
+    """Project to ``schema``; absent columns become typed NULLs, a value that does not cast fails."""
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def column(f: T.StructField) -> str:
         kind, name = f.dataType.simpleString(), f"`{f.name}`"
         if f.name not in have:
             return f"CAST(NULL AS {kind}) AS {name}"
-        return name if have[f.name] == f.dataType else f"try_cast({name} AS {kind}) AS {name}"
+        return name if have[f.name] == f.dataType else f"CAST({name} AS {kind}) AS {name}"
 
     return df.selectExpr(*[column(f) for f in schema.fields])

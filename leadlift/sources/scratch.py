@@ -6,29 +6,28 @@ with column pruning, and gives Spark its real size for join planning.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: The folder of the run in progress, below the application's.
+_run: ContextVar[str] = ContextVar("run", default="")
 
-def scratch_root(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of its own.
-    """
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``, which must be set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="leadlift-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/leadlift-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return "/".join(filter(None, (scratch_root(spark), _run.get(), f"{name}-{uuid.uuid4().hex}")))
 
 
 def materialise(
@@ -45,7 +44,23 @@ def materialise(
     return spark.read.schema(read_schema or df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove this application's intermediate tables, once nothing reads them any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, scratch_root(spark))
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end, also of a run that fails."""
+    token = _run.set(f"run-{uuid.uuid4().hex}")
+    folder = f"{scratch_root(spark)}/{_run.get()}"
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        _remove(spark, folder)

@@ -23,11 +23,17 @@ def test_jdbc_slices():
 
 
 def test_conform_casts_adds_and_drops(spark):
-    df = spark.createDataFrame([("1", "0.5", "x", 1)], "account_id string, score string, percentile string, extra int")
+    df = spark.createDataFrame([("1", "0.5", "7", 1)], "account_id string, score string, percentile string, extra int")
     out = conform(df, SCORE)
     assert out.schema == SCORE
     row = out.first()
-    assert (row["score"], row["percentile"], row["exclude"]) == (0.5, None, None)
+    assert (row["score"], row["percentile"], row["exclude"]) == (0.5, 7, None)
+
+
+def test_conform_fails_on_values_that_do_not_cast(spark):
+    df = spark.createDataFrame([("1", "x")], "account_id string, percentile string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(df, SCORE).collect()
 
 
 @pytest.fixture
@@ -52,6 +58,35 @@ def test_replacing_products_leaves_others_alone(spark, scores, rows):
     assert rows(got.filter(rest)) == rows(scores.filter(rest))
 
 
+def test_codes_of_digits_stay_text(spark, scores, rows):
+    path = scratch.scratch_path(spark, "digits")
+    coded = scores.withColumn("product_code", F.expr("CASE WHEN percentile IS NULL AND account_id < '5' THEN '00123' ELSE '2024-01-01' END"))
+    sinks.replace_partitions(coded, path)
+    assert rows(readers.read_table(spark, path, SCORE)) == rows(coded)
+
+
+def test_a_replaced_product_without_rows_is_emptied(spark, scores, rows):
+    path = scratch.scratch_path(spark, "emptied")
+    sinks.replace_partitions(scores, path)
+    newer = scores.filter("product_code = 'p2'")
+    sinks.replace_partitions(newer, path, values=["p2", "hot/1", "never there"])
+    got = readers.read_table(spark, path, SCORE)
+    assert rows(got) == rows(scores.filter("product_code <> 'hot/1'"))
+
+
+def test_a_run_leaves_no_scratch_behind(spark):
+    with pytest.raises(ValueError), scratch.run_scratch(spark):
+        path = scratch.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        folder = path.rsplit("/", 1)[0]
+        assert spark.read.parquet(path).count() == 3
+        raise ValueError
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    assert "/run-" not in scratch.scratch_path(spark, "y")
+
+
 def test_writes_split_a_hot_product_and_keep_small_ones_together(spark, scores):
     spread = sinks.spread(scores, ["product_code"]).withColumn("task", F.spark_partition_id())
     tasks = spread.groupBy("product_code").agg(F.countDistinct("task").alias("n"))
@@ -87,6 +122,9 @@ def test_scratch_needs_a_shared_folder(spark):
         class sparkContext:
             master = "spark://cluster:7077"
 
+    with pytest.raises(RuntimeError):
+        scratch.scratch_root(Session())
+    Session.sparkContext.master = "local[2]"
     with pytest.raises(RuntimeError):
         scratch.scratch_root(Session())
     assert scratch.scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -202,8 +202,17 @@ def test_candidates_need_fifty_buyers(spark, rows):
     buyers = buyers_by_node(lines(spark, *items), tree_nodes(tree), accounts, CFG)
     assert rows(buyers.filter("level = 'LEVEL6'"), "node_code", "buyers") == [("many", 50)]
     assert [tuple(r) for r in candidate_products(buyers, CFG).collect()] == [("many", "LEVEL6", 50)]
-    capped = candidate_products(buyers, replace(CFG, candidate_cap=1, model_type="consulting"))
-    assert [tuple(r) for r in capped.collect()] == [("d", "LEVEL4", 50)]
+    consulting = candidate_products(buyers, replace(CFG, model_type="consulting"))
+    assert [tuple(r) for r in consulting.collect()] == [
+        ("d", "LEVEL4", 50), ("e", "LEVEL5", 50), ("many", "LEVEL6", 50)
+    ]
+
+
+def test_candidates_are_neither_capped_nor_named_twice(spark):
+    data = [(f"n{i:04d}", "LEVEL6", 60) for i in range(1200)] + [("n0000", "LEVEL7", 90), ("n0001", "LEVEL5", 99)]
+    got = candidate_products(spark.createDataFrame(data, "node_code string, level string, buyers long"), CFG).collect()
+    assert len(got) == 1200
+    assert {r["level"] for r in got} == {"LEVEL6"}
 
 
 def test_stalest_products_come_once(spark, rows):
@@ -211,7 +220,7 @@ def test_stalest_products_come_once(spark, rows):
         [("b.2024", "20240101"), ("b.2024", "20240201"), ("a.2024", "20240103"), ("c.2023", "20200101")],
         "product_code string, score_date string",
     )
-    got = [tuple(r) for r in stalest_products(df, "2024").collect()]
+    got = [tuple(r) for r in stalest_products(df, "2024", 50).collect()]
     assert got == [("b.2024", "20240101"), ("a.2024", "20240103")]
 
 
