@@ -79,9 +79,54 @@ def smote_counts(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.class_counts(balance.smote(points(spark, sf)))
 
 
-@query()
+def _draw(*parts: str) -> str:
+    text = ", ".join((*parts, "'42'"))
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {text})), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
+VIEWS["class_sizes"] = """
+SELECT arg_min(label, n * 10 - label) AS minor, min(n) AS size, max(n) - min(n) AS need
+FROM (SELECT label, count(*) AS n FROM points GROUP BY label)"""
+VIEWS["minority"] = f"""
+SELECT id, vec, row_number() OVER (ORDER BY {_draw("id")}, id) AS position
+FROM points WHERE label = (SELECT minor FROM class_sizes)"""
+VIEWS["minority_near"] = """
+SELECT id, list(other ORDER BY rank) AS near FROM (
+  SELECT a.id, b.vec AS other,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) AS rank
+  FROM minority a JOIN minority b ON a.id <> b.id)
+WHERE rank <= 5 GROUP BY id"""
+VIEWS["smote_draws"] = f"""
+SELECT m.id, m.vec, n.near, m.position * (c.need // c.size + 1) + s.s AS n,
+       {_draw("m.id", "s.s", "'pick'")} AS pick, {_draw("m.id", "s.s", "'gap'")} AS gap
+FROM minority m JOIN minority_near n ON m.id = n.id CROSS JOIN class_sizes c
+JOIN (SELECT unnest(range(1, 1 + (SELECT need // size + 1 FROM class_sizes))) AS s) s
+  ON s.s <= c.need // c.size + CASE WHEN m.position <= c.need % c.size THEN 1 ELSE 0 END"""
+VIEWS["grown"] = """
+SELECT id, vec, label, false AS synthetic FROM points
+UNION ALL
+SELECT -n, list_transform(list_zip(vec, near[CAST(floor(pick * len(near)) AS BIGINT) + 1]),
+                          lambda p: p[1] + gap * (p[2] - p[1])),
+       (SELECT minor FROM class_sizes), true
+FROM smote_draws"""
+VIEWS["grown_nearest"] = """
+SELECT id, neighbour FROM (
+  SELECT a.id, b.id AS neighbour,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) AS rank
+  FROM grown a JOIN grown b ON a.id <> b.id)
+WHERE rank = 1"""
+
+
+@query(
+    """SELECT g.id, g.label, g.synthetic, round(g.vec[1], 6) AS first_value
+FROM grown g WHERE g.id NOT IN (
+  SELECT a.id FROM grown_nearest a JOIN grown_nearest b ON a.neighbour = b.id AND b.neighbour = a.id
+  JOIN grown x ON x.id = a.id JOIN grown y ON y.id = a.neighbour WHERE x.label <> y.label)"""
+)
 def smote_balanced(spark: SparkSession, sf: str) -> DataFrame:
-    return balance.smote_tomek(points(spark, sf))
+    """Over-sampled and cleaned rows; of the vectors the first value, rounded."""
+    kept = balance.smote_tomek(points(spark, sf))
+    return kept.select("id", "label", "synthetic", F.round(F.col("vec")[0], 6).alias("first_value"))
 
 
 @query(
@@ -127,6 +172,10 @@ MODEL_CONFIG = replace(
     grid={"numTrees": (10,), "maxDepth": (4, 6), "minInstancesPerNode": (1,), "weighting": ("balanced",)},
     folds=2,
 )
+# The default balancing, with one setting.
+BALANCED_CONFIG = replace(
+    CONFIG, grid={"numTrees": (5,), "maxDepth": (4,), "minInstancesPerNode": (1,), "weighting": ("none",)}
+)
 _trained: dict[tuple[str, str, str], str] = {}
 
 
@@ -148,6 +197,37 @@ def train_products(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{trained(spark, sf)}/metrics", MODEL_METRICS)
 
 
+_HELD_OUT = f"""
+SELECT split_part(product_key, '|', 2) AS product_code, label, {_draw("account_id", "period", "split_part(product_key, '|', 2)", "'split'")} < 0.7 AS is_train
+FROM sampled_rows"""
+_TRAINED = f"""
+SELECT product_code FROM ({_HELD_OUT}) WHERE is_train GROUP BY product_code HAVING count(DISTINCT label) = 2"""
+
+
+@query(
+    f"""SELECT product_code, CAST(label AS VARCHAR) AS class_label, count(*) AS support
+FROM ({_HELD_OUT}) WHERE NOT is_train AND product_code IN ({_TRAINED}) GROUP BY product_code, label"""
+)
+def held_out_support(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the trained models, the held-out rows of each class they were measured on."""
+    lines = read_table(spark, f"{trained(spark, sf)}/metrics", MODEL_METRICS)
+    return lines.filter(F.col("class_label").isin("0", "1")).select("product_code", "class_label", "support")
+
+
+@query(f"SELECT product_code, 'LEVEL1' AS level, 'generic' AS model_type, '20010815' AS trained_on FROM ({_TRAINED})")
+def registered_products(spark: SparkSession, sf: str) -> DataFrame:
+    """The models that the default balancing trains: over-sampling, then link cleaning."""
+    registry = read_table(spark, f"{trained(spark, sf, BALANCED_CONFIG)}/registry", MODEL_REGISTRY)
+    balanced = registry.filter(F.col("settings")["balance"] == "smote_tomek")
+    return balanced.select("product_code", "level", "model_type", "trained_on")
+
+
+@query(f"SELECT e.account_id, t.product_code, '20010815' AS score_date FROM eligible e JOIN dim d ON e.account_id = d.account_id CROSS JOIN ({_TRAINED}) t")
+def scored_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Which pairs the scoring run writes: every eligible account with every model, once."""
+    return scoring_run(spark, sf).select("account_id", "product_code", "score_date")
+
+
 @query()
 def model_registry(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{trained(spark, sf)}/registry", MODEL_REGISTRY).select(
