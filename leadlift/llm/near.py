@@ -229,7 +229,8 @@ def confirmed(members: DataFrame, docs: DataFrame, size: int, percent: int, doc_
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     sized = scratch(sized.select("comp", "node", "digest", "blocks", own.alias("own")), "members")
     texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
-    whole = texts.join(sized, "node")
+    # Never by broadcast: the members grow with the corpus.
+    whole = texts.join(sized.hint("merge"), "node")
     pair = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least("own", other).alias("i"), F.greatest("own", other).alias("j")),
