@@ -134,3 +134,16 @@ def test_constant_features_are_not_correlated(spark):
     )
     assert correlated_features(df) == [2]
     assert correlated_features(df, mode="drop_both") == [0, 2]
+
+
+def test_fit_rows_are_bounded_and_keep_the_rare_class(spark):
+    from leadlift.operators.training import fit_sample
+
+    rows = spark.range(20000).selectExpr(
+        "cast(id AS string) AS account_id", "1 AS period", "'p' AS product_code", "if(id % 50 = 0, 1, 0) AS label"
+    )
+    config = replace(CFG, fit_rows=2000)
+    got = {r["label"]: r["count"] for r in fit_sample(rows, {0: 19600, 1: 400}, config).groupBy("label").count().collect()}
+    assert 1700 < sum(got.values()) < 2300 and got[1] > 250
+    again = fit_sample(rows.repartition(7), {0: 19600, 1: 400}, config)
+    assert again.groupBy("label").count().orderBy("label").collect() == fit_sample(rows, {0: 19600, 1: 400}, config).groupBy("label").count().orderBy("label").collect()
