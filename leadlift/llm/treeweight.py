@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from leadlift.llm.common import fields, query, remainder_column, scratch, slices, table, words
 
-DEPTH, TAIL = 6, 3
+DEPTH, TAIL = 5, 3
 WORDS, KEYS = 400_000, 1_000_000
 END, BLANK = b"\n", 0x20
 HALF = float(np.log(0.5))
@@ -94,6 +94,7 @@ def starts(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     key0 = (before << 8 | BLANK) << 8 | flat[first]
     inside = flat[first] != END[0]
     key1 = ((before[inside] << 8 | BLANK) << 8 | flat[first[inside]]) << 8 | flat[second]
+    key1 &= (1 << 8 * (DEPTH + 1)) - 1
     owner = np.searchsorted(ends, first, side="right")
     return np.concatenate([key0, key1]), np.concatenate([owner, owner[inside]])
 
@@ -185,35 +186,37 @@ def bit_probabilities(contexts: DataFrame) -> DataFrame:
     level = single.select(node.alias("node"), ((1 - F.col("x.bit")) * F.col("c")).alias("a"), (F.col("x.bit") * F.col("c")).alias("b"))
     level = level.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     own = estimate(F.col("a"), F.col("b"))
-    levels = [scratch(level.select("node", "a", "b", F.lit(1.0).alias("stay"), own.alias("lw")), f"ctw-{DEPTH}")]
+    # What a level holds follows from its counts, and inside the trees from P_w besides.
+    levels = [scratch(level, f"ctw-{DEPTH}")]
+    lw = own
     for depth in range(DEPTH - 1, -1, -1):
         above = levels[0].groupBy(at_depth(F.col("node"), depth).alias("node")).agg(
-            F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("lw").alias("below")
+            F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum(lw).alias("below")
         )
         above = above.withColumn("own", own)
         most = F.greatest("own", "below")
-        lw = most + HALF + F.log1p(F.exp(F.least("own", "below") - most))
-        above = above.withColumn("lw", lw).withColumn("stay", F.exp(F.col("own") + HALF - F.col("lw")))
-        levels.insert(0, scratch(above.select("node", "a", "b", "stay", "lw"), f"ctw-{depth}"))
+        weighted = most + HALF + F.log1p(F.exp(F.least("own", "below") - most))
+        levels.insert(0, scratch(above.select("node", "a", "b", weighted.alias("lw")), f"ctw-{depth}"))
+        lw = F.col("lw")
     one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
-    mixed = levels[0].select("node", (F.col("stay") * one).alias("p"), (1 - F.col("stay")).alias("rest"))
+    stay = F.exp(own + HALF - F.col("lw"))
+    mixed = levels[0].select("node", (stay * one).alias("p"), (1 - stay).alias("rest"))
     for depth in range(1, DEPTH + 1):
         parent = mixed.select(F.col("node").alias("up"), "p", "rest")
         here = levels[depth].withColumn("up", at_depth(F.col("node"), depth - 1)).join(parent, "up")
-        mixed = here.select(
-            "node", (F.col("p") + F.col("rest") * F.col("stay") * one).alias("p"), (F.col("rest") * (1 - F.col("stay"))).alias("rest")
-        )
-    return mixed.select("node", F.col("p").alias("one"))
+        if depth == DEPTH:
+            return here.select("node", (F.col("p") + F.col("rest") * one).alias("one"))
+        mixed = here.select("node", (F.col("p") + F.col("rest") * stay * one).alias("p"), (F.col("rest") * (1 - stay)).alias("rest"))
 
 
 def symbol_scores(contexts: DataFrame) -> DataFrame:
     """(key, c, uses, lp): log10 probability of each symbol in its deepest context."""
     symbol = F.col("key").bitwiseAND(F.lit(255).cast("long"))
-    bits = contexts.select("key", "c", "uses", F.explode(bit_nodes(symbol)).alias("x"))
-    bits = bits.select("key", "c", "uses", (F.col("key") - symbol).bitwiseOR(F.col("x.node")).alias("node"), "x.bit")
-    joined = bits.join(scratch(bit_probabilities(contexts), "ctw-bits"), "node")
-    lp = F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))
-    return joined.groupBy("key").agg(F.max("c").alias("c"), F.max("uses").alias("uses"), F.sum(lp).alias("lp"))
+    bits = contexts.select("key", F.explode(bit_nodes(symbol)).alias("x"))
+    bits = bits.select("key", (F.col("key") - symbol).bitwiseOR(F.col("x.node")).alias("node"), F.col("x.bit").cast("boolean").alias("bit"))
+    joined = bits.join(bit_probabilities(contexts), "node")
+    lp = F.log10(F.when(F.col("bit"), F.col("one")).otherwise(1 - F.col("one")))
+    return joined.groupBy("key").agg(F.sum(lp).alias("lp")).join(contexts, "key").select("key", "c", "uses", "lp")
 
 
 def head_of(rows: DataFrame, weight: str, most: int):
