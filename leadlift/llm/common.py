@@ -41,7 +41,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     path = f"{root.rstrip('/')}/leadlift-llm-{app}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

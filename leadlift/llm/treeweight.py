@@ -145,32 +145,17 @@ def count_contexts(vocabulary: DataFrame, most: int = 2_000_000) -> DataFrame:
     return vocabulary.select("word", "c").mapInArrow(run, out).groupBy("key").agg(F.sum("c").alias("c"), F.sum("uses").alias("uses"))
 
 
-def lgamma(x: Column) -> Column:
-    """log Gamma for x >= 0.5, by Stirling's series at x + 7."""
-    low = F.log(x * (x + 1) * (x + 2)) + F.log((x + 3) * (x + 4) * (x + 5) * (x + 6))
+def lgamma(x, log=F.log):
+    """log Gamma for x >= 0.5, by Stirling's series at x + 7; of columns or, with np.log, of arrays."""
+    low = log(x * (x + 1) * (x + 2)) + log((x + 3) * (x + 4) * (x + 5) * (x + 6))
     z = x + 7
     series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
-    return (z - 0.5) * F.log(z) - z + float(0.5 * np.log(2 * np.pi)) + series - low
+    return (z - 0.5) * log(z) - z + float(0.5 * np.log(2 * np.pi)) + series - low
 
 
-def estimate(a: Column, b: Column) -> Column:
-    """log of the Krichevsky-Trofimov probability of a zeros and b ones."""
-    zeros, ones = a.cast("double"), b.cast("double")
-    got = lgamma(zeros + 0.5) + lgamma(ones + 0.5) - lgamma(zeros + ones + 1) - float(np.log(np.pi))
-    return F.when(a + b == 0, F.lit(0.0)).otherwise(got)
-
-
-def bit_nodes(symbol: Column) -> Column:
-    """The byte's eight decisions: the node that decides, and the bit."""
-    return F.array(
-        *(
-            F.struct(
-                F.shiftright(symbol.bitwiseOR(F.lit(256).cast("long")), 8 - k).alias("node"),
-                F.shiftright(symbol, 7 - k).bitwiseAND(F.lit(1).cast("long")).alias("bit"),
-            )
-            for k in range(8)
-        )
-    )
+def estimate(a, b, log=F.log):
+    """log of the Krichevsky-Trofimov probability of a zeros and b ones, as floating numbers."""
+    return lgamma(a + 0.5, log) + lgamma(b + 0.5, log) - lgamma(a + b + 1, log) - float(np.log(np.pi))
 
 
 def at_depth(key: Column, depth: int) -> Column:
@@ -178,45 +163,104 @@ def at_depth(key: Column, depth: int) -> Column:
     return key.bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1).cast("long"))
 
 
-def bit_probabilities(contexts: DataFrame) -> DataFrame:
-    """(node, one): probability of a one at each decision of each deepest context."""
-    symbol = F.col("key").bitwiseAND(F.lit(255).cast("long"))
-    single = contexts.select("key", "c", F.explode(bit_nodes(symbol)).alias("x"))
-    node = (F.col("key") - symbol).bitwiseOR(F.col("x.node"))
-    level = single.select(node.alias("node"), ((1 - F.col("x.bit")) * F.col("c")).alias("a"), (F.col("x.bit") * F.col("c")).alias("b"))
-    level = level.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    own = estimate(F.col("a"), F.col("b"))
-    # What a level holds follows from its counts, and inside the trees from P_w besides.
-    levels = [scratch(level, f"ctw-{DEPTH}")]
-    lw = own
+def decisions(owner: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner << 8 | decision) and the bit, for the eight decisions of each symbol, symbol by symbol."""
+    k = np.arange(8)
+    node = (symbol[:, None] | 256) >> (8 - k)
+    bit = symbol[:, None] >> (7 - k) & 1
+    return (owner[:, None] << 8 | node).ravel(), bit.ravel()
+
+
+def leaf_counts(node: np.ndarray, bit: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct nodes, zeros and ones of each, and each decision's place among them."""
+    distinct, at = np.unique(node, return_inverse=True)
+    weight = np.repeat(c, 8).astype(float)
+    zeros = np.bincount(at, weights=weight * (1 - bit), minlength=len(distinct))
+    return distinct, zeros, np.bincount(at, weights=weight * bit, minlength=len(distinct)), at
+
+
+def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """A list column's entries, and the row of each."""
+    flat = column.flatten()
+    return flat, np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+
+
+def leaf_sums(leaves: DataFrame) -> DataFrame:
+    """(node, a, b, below): of each node one byte above the leaves, the sums over its leaves."""
+    out = fields(node="long", a="double", b="double", below="double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            entries, row = lists(batch.column(1))
+            context = batch.column(0).to_numpy()
+            node, bit = decisions(row, entries.field("symbol").to_numpy())
+            distinct, a, b, _ = leaf_counts(node, bit, entries.field("c").to_numpy())
+            up = (context[distinct >> 8] & ((1 << 8 * (DEPTH - 1)) - 1)) << 8 | (distinct & 255)
+            parents, at = np.unique(up, return_inverse=True)
+            sums = [np.bincount(at, weights=x, minlength=len(parents)) for x in (a, b, estimate(a, b, np.log))]
+            yield pa.RecordBatch.from_arrays([pa.array(parents), *map(pa.array, sums)], names=out.names)
+
+    parts = leaves.select("context", "entries").mapInArrow(run, out)
+    return parts.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("below").alias("below"))
+
+
+def mixtures(leaves: DataFrame) -> DataFrame:
+    """(node, p, rest): down to the nodes above the leaves, the mixture of the estimates so
+    far and the weight that is left for the leaf."""
+    own, one = estimate(F.col("a"), F.col("b")), (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
+    most = F.greatest("own", "below")
+    weighted = most + HALF + F.log1p(F.exp(F.least("own", "below") - most))
+    levels: list[DataFrame] = []
+    above = leaf_sums(leaves)
     for depth in range(DEPTH - 1, -1, -1):
-        above = levels[0].groupBy(at_depth(F.col("node"), depth).alias("node")).agg(
-            F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum(lw).alias("below")
+        level = above.withColumn("own", own).select("node", "a", "b", weighted.alias("lw"))
+        levels.insert(0, scratch(level, f"ctw-{depth}"))
+        above = levels[0].groupBy(at_depth(F.col("node"), depth - 1).alias("node")).agg(
+            F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("lw").alias("below")
         )
-        above = above.withColumn("own", own)
-        most = F.greatest("own", "below")
-        weighted = most + HALF + F.log1p(F.exp(F.least("own", "below") - most))
-        levels.insert(0, scratch(above.select("node", "a", "b", weighted.alias("lw")), f"ctw-{depth}"))
-        lw = F.col("lw")
-    one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
     stay = F.exp(own + HALF - F.col("lw"))
     mixed = levels[0].select("node", (stay * one).alias("p"), (1 - stay).alias("rest"))
-    for depth in range(1, DEPTH + 1):
+    for depth in range(1, DEPTH):
         parent = mixed.select(F.col("node").alias("up"), "p", "rest")
         here = levels[depth].withColumn("up", at_depth(F.col("node"), depth - 1)).join(parent, "up")
-        if depth == DEPTH:
-            return here.select("node", (F.col("p") + F.col("rest") * one).alias("one"))
         mixed = here.select("node", (F.col("p") + F.col("rest") * stay * one).alias("p"), (F.col("rest") * (1 - stay)).alias("rest"))
+    return mixed
 
 
 def symbol_scores(contexts: DataFrame) -> DataFrame:
-    """(key, c, uses, lp): log10 probability of each symbol in its deepest context."""
-    symbol = F.col("key").bitwiseAND(F.lit(255).cast("long"))
-    bits = contexts.select("key", F.explode(bit_nodes(symbol)).alias("x"))
-    bits = bits.select("key", (F.col("key") - symbol).bitwiseOR(F.col("x.node")).alias("node"), F.col("x.bit").cast("boolean").alias("bit"))
-    joined = bits.join(bit_probabilities(contexts), "node")
-    lp = F.log10(F.when(F.col("bit"), F.col("one")).otherwise(1 - F.col("one")))
-    return joined.groupBy("key").agg(F.sum(lp).alias("lp")).join(contexts, "key").select("key", "c", "uses", "lp")
+    """(key, c, uses, lp): log10 probability of each symbol in its deepest context.
+
+    A context has 256 symbols and 255 decisions at most, so they fit in a row.
+    """
+    entry = F.struct(F.col("key").bitwiseAND(F.lit(255).cast("long")).alias("symbol"), "c", "uses")
+    leaves = contexts.groupBy(F.shiftright("key", 8).alias("context")).agg(F.collect_list(entry).alias("entries"))
+    leaves = scratch(leaves, "leaves")
+    mixed = mixtures(leaves)
+    node = F.struct(F.col("node").bitwiseAND(F.lit(255).cast("long")).alias("node"), "p", "rest")
+    above = mixed.groupBy(F.shiftright("node", 8).alias("up")).agg(F.collect_list(node).alias("above"))
+    up = F.col("context").bitwiseAND(F.lit((1 << 8 * (DEPTH - 1)) - 1).cast("long"))
+    joined = leaves.withColumn("up", up).join(above, "up").select("context", "entries", "above")
+    out = fields(key="long", c="long", uses="long", lp="double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1 << 22):
+            entries, row = lists(batch.column(1))
+            symbol, c = entries.field("symbol").to_numpy(), entries.field("c").to_numpy()
+            node, bit = decisions(row, symbol)
+            distinct, a, b, at = leaf_counts(node, bit, c)
+            higher, higher_row = lists(batch.column(2))
+            known = higher_row << 8 | higher.field("node").to_numpy()
+            order = np.argsort(known)
+            found = order[np.searchsorted(known[order], distinct)]
+            one = higher.field("p").to_numpy()[found] + higher.field("rest").to_numpy()[found] * (b + 0.5) / (a + b + 1)
+            chosen = np.where(bit == 1, one[at], 1 - one[at])
+            lp = np.log10(chosen).reshape(-1, 8).sum(axis=1)
+            key = batch.column(0).to_numpy()[row] << 8 | symbol
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(c), entries.field("uses"), pa.array(lp)], names=out.names)
+
+    return joined.mapInArrow(run, out)
 
 
 def head_of(rows: DataFrame, weight: str, most: int):
@@ -252,7 +296,7 @@ def look_up(known: np.ndarray, lp: np.ndarray, key: np.ndarray, owner: np.ndarra
 def word_scores(vocabulary: DataFrame, scored: DataFrame) -> DataFrame:
     """(word, c, lp): of every word the log10 probability from its third symbol on."""
     shared = key_head(scored, "uses")
-    out = fields(id="long", word="binary", c="long", lp="double", key="long")
+    out = fields(id="long", word="binary", c="long", lp="double", parted="boolean", key="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per word with the sum over the head; a row per symbol outside it."""
@@ -267,20 +311,25 @@ def word_scores(vocabulary: DataFrame, scored: DataFrame) -> DataFrame:
             part, far = look_up(*shared.value, key, owner, n)
             ids = np.arange(next_id, next_id + n)
             next_id += n
-            none = pa.nulls(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(0), batch.column(1), pa.array(part), none], names=out.names)
+            parted = np.bincount(owner[far], minlength=n) > 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), batch.column(0), batch.column(1), pa.array(part), pa.array(parted), pa.nulls(n, pa.int64())], names=out.names
+            )
             m = int(far.sum())
             if m:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[owner[far]]), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.array(key[far])],
+                    [pa.array(ids[owner[far]]), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()),
+                     pa.nulls(m, pa.bool_()), pa.array(key[far])],
                     names=out.names,
                 )
 
     split = scratch(vocabulary.select("word", "c").mapInArrow(run, out), "word-parts")
     rest = split.filter(F.col("key").isNotNull()).select("id", "key").join(scored.select("key", F.col("lp").alias("more")), "key")
     rest = rest.groupBy("id").agg(F.sum("more").alias("more"))
-    whole = split.filter(F.col("key").isNull()).select("id", "word", "c", "lp").join(rest, "id", "left")
-    return whole.select("word", "c", (F.col("lp") + F.coalesce("more", F.lit(0.0))).alias("lp"))
+    whole = split.filter(F.col("key").isNull())
+    unfinished = whole.filter("parted").select("id", "word", "c", "lp").join(rest, "id")
+    unfinished = unfinished.select("word", "c", (F.col("lp") + F.col("more")).alias("lp"))
+    return whole.filter("not parted").select("word", "c", "lp").unionByName(unfinished)
 
 
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,8 +345,8 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     contexts = scratch(first.unionByName(count_contexts(vocabulary)), "contexts")
     symbols = scratch(symbol_scores(contexts), "symbols")
     base = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
-    scored = scratch(word_scores(vocabulary, symbols).withColumn("base", base), "words")
-    head = head_of(scored, "c", WORDS)
+    scored = word_scores(vocabulary, symbols)
+    head = head_of(scored.withColumn("base", base), "c", WORDS)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(({bytes(w): i for i, w in enumerate(head["word"])}, head["lp"].to_numpy(float), head["base"].to_numpy(float)))
     shared_keys = key_head(symbols.filter("uses = 0"), "c")
@@ -347,7 +396,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     split = scratch(split, "text-parts")
     zero = F.lit(0.0)
     by_word = split.filter(F.col("word").isNotNull()).select("id", "word").join(scored, "word").select(
-        "id", F.when(F.col("c") > 0, F.lit(1)).otherwise(0).alias("known1"), F.col("lp").alias("lp1"), F.col("base").alias("base1")
+        "id", F.when(F.col("c") > 0, F.lit(1)).otherwise(0).alias("known1"), F.col("lp").alias("lp1"), base.alias("base1")
     )
     by_key = split.filter(F.col("key").isNotNull()).select("id", "key").join(symbols.select("key", F.col("lp").alias("lp1")), "key")
     by_key = by_key.select("id", F.lit(0).alias("known1"), "lp1", zero.alias("base1"))
