@@ -1,7 +1,8 @@
 """Removes repeated lines and the sentences in them, by digests of normalised units.
 
-A unit is a line, or where a line holds several sentences, a sentence. Normalised, case
-and white space do not count. Units of at least ``least_words`` words are grouped by a
+A unit is a line, or where a line holds several sentences, a sentence; sentences of more
+than 16 words are cut into clauses at words of locally least hash, so a passage falls into
+the same units wherever it was put. Normalised, case and white space do not count. Units of at least ``least_words`` words are grouped by a
 128-bit digest over the whole corpus; the occurrence that ranks first, by (doc_id,
 position), stays and the others go. Offsets are of the original text, in code points.
 
@@ -16,6 +17,7 @@ other; a NULL doc_id ranks first; other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,14 +32,40 @@ UNIT = re.compile(r"[^\n]+?(?:[.!?]+(?=[ \t\f\v\r]|$)|$)", re.M)
 LEAST_WORDS = 6
 
 
+#: Sentences of more words are cut into clauses, and how far around a cut words decide.
+LONG, AROUND = 16, 5
+WORD = re.compile(r"\S+")
+
+
+def cuts(words: list[str]) -> list[int]:
+    """Where a long sentence is cut: behind words of less hash than the ``AROUND`` on each side.
+
+    Words around decide alone, so a passage is cut alike wherever it stands, and
+    clauses have ``AROUND`` + 1 words at least.
+    """
+    h = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    return [i + 1 for i in range(AROUND, len(h) - AROUND) if h[i] < min(h[i - AROUND : i]) and h[i] <= min(h[i + 1 : i + AROUND + 1])]
+
+
 def units(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, normalised) of each unit, without white space at its ends."""
     for found in UNIT.finditer(text):
         raw = found[0]
         body = raw.strip()
-        if body:
-            start = found.start() + len(raw) - len(raw.lstrip())
-            yield start, start + len(body), " ".join(body.lower().split())
+        if not body:
+            continue
+        start = found.start() + len(raw) - len(raw.lstrip())
+        words = body.lower().split()
+        if len(words) <= LONG:
+            yield start, start + len(body), " ".join(words)
+            continue
+        edges = [0, *cuts(words), len(words)]
+        spans = [m.span() for m in WORD.finditer(body)] if len(edges) > 2 else ()
+        for i, j in zip(edges, edges[1:]):
+            if len(spans) == len(words):
+                yield start + spans[i][0], start + spans[j - 1][1], " ".join(words[i:j])
+        if len(spans) != len(words):
+            yield start, start + len(body), " ".join(words)
 
 
 def places(docs: DataFrame, least_words: int, doc_id: str, text: str) -> DataFrame:
