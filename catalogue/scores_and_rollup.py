@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from leadlift.operators.features import labels_by_period
 from leadlift.operators.hierarchy import full_paths, level_map, level_names, tree_nodes
 from leadlift.operators.joins import dimension_join
 from leadlift.plans.rollup import exported, rolled_up, run_rollup
+from leadlift.plans.score import staged_scores
 from leadlift.sources import readers, sinks
 from leadlift.sources.schemas import HISTORY, SCORE, conform
 from leadlift.sources.scratch import materialise, scratch_path
@@ -275,6 +278,25 @@ def exclude_flag(spark: SparkSession, sf: str) -> DataFrame:
     return flagged.select("account_id", "product_code", "score", "exclude")
 
 
+@query(
+    """SELECT y.account_id, y.score_date, y.score, y.product_code,
+       CAST(CASE WHEN o.account_id IS NOT NULL THEN 1 END AS INTEGER) AS exclude, y.logical_product,
+       y.percentile, y.decile, CASE WHEN y.score > f.lowest THEN 1 ELSE 0 END AS flag1,
+       CAST(NULL AS INTEGER) AS flag2, CAST(NULL AS INTEGER) AS flag3, CAST(NULL AS INTEGER) AS flag4,
+       CAST(NULL AS INTEGER) AS flag5
+FROM year_scores y
+LEFT JOIN fresh_opens o ON y.account_id = o.account_id AND y.product_code = o.product_code
+LEFT JOIN (SELECT product_code, min(score) AS lowest FROM ranked_scores WHERE percentile = 1 GROUP BY 1) f
+  ON y.product_code = f.product_code"""
+)
+def consulting_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The consulting score table: thirteen columns with exclusions, ranks and the sweet spot."""
+    scores = readers.with_suffix(base_scores(spark, sf), YEAR)
+    opens = fresh_opens(spark, sf, scores)
+    accounts = eligible_accounts(src.master(spark, sf), src.roles(spark, sf))
+    return staged_scores(scores, accounts, opens, replace(CONFIG, model_type="consulting"))
+
+
 # --- roll-up and export ---
 
 VIEWS["parent_scores"] = """

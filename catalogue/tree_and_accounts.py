@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalogue import inputs as src
 from catalogue.inputs import AS_OF, CONFIG, VIEWS
 from catalogue.registry import query
+from leadlift.sources.readers import product_tree
 from leadlift.operators.accounts import account_parents, eligible_accounts as eligible
 from leadlift.operators.activity import activity_lines as join_activity
 from leadlift.operators.activity import consulting_lines as only_consulting
@@ -201,6 +202,13 @@ def candidate_products(spark: SparkSession, sf: str) -> DataFrame:
     return _buyers(spark, sf).orderBy(F.desc("buyers"), "node_code")
 
 
+@query("SELECT product_id, l5, l6 FROM tree WHERE l5 LIKE '%.2001'")
+def tree_of_a_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The products of one version of the hierarchy."""
+    picked = product_tree(src.raw_tree(spark, sf), version=F.col("l5").endswith(f".{CONFIG.hierarchy_year}"))
+    return picked.select("product_id", "l5", "l6")
+
+
 @query(
     """SELECT node_code, level, buyers FROM buyers
 WHERE level IN ('LEVEL3', 'LEVEL4', 'LEVEL5', 'LEVEL6', 'LEVEL7') AND node_code IS NOT NULL
