@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from leadlift.operators.features import (
 )
 from leadlift.operators.hierarchy import branch_nodes, tree_nodes
 from leadlift.operators.vectors import correlated, feature_names, vector_table
+from leadlift.plans.train import training_table
 from leadlift.sources.scratch import materialise
 
 KEYS = ["account_id", "period"]
@@ -354,3 +356,47 @@ VIEWS["dense"] = f"""
 SELECT e.account_id, i.feature, i.idx, CAST(coalesce(s.value, 0) AS DOUBLE) AS value
 FROM eligible e CROSS JOIN (VALUES {_INDEX}) i(feature, idx)
 LEFT JOIN serving_rows s ON s.account_id = e.account_id AND s.feature = i.feature"""
+
+
+# The training table at the levels that are trained on: features of every level-6 node.
+for _view in ("quarter_rows", "year_rows", "first_rows"):
+    VIEWS[f"fine_{_view}"] = VIEWS[_view].replace("'LEVEL2'", "'LEVEL6'")
+VIEWS["fine_behaviour"] = """
+SELECT account_id, period, count(CASE WHEN value <> 0 THEN 1 END) AS n, sum(value) AS total
+FROM (SELECT * FROM fine_quarter_rows UNION ALL SELECT * FROM fine_year_rows UNION ALL SELECT * FROM fine_first_rows)
+GROUP BY account_id, period"""
+VIEWS["fine_accounts"] = "SELECT * FROM eligible WHERE account_id IN (SELECT account_id FROM fine_year_rows)"
+VIEWS["fine_spine"] = f"""
+SELECT {_A}, t.product_key, p.period, CASE WHEN b.account_id IS NULL THEN 0 ELSE 1 END AS label
+FROM fine_accounts a
+CROSS JOIN (SELECT level || '|' || node_code AS product_key FROM buyers WHERE level IN ('LEVEL5', 'LEVEL6')) t
+CROSS JOIN periods p
+LEFT JOIN (SELECT level || '|' || node_code AS product_key, account_id, period FROM period_labels) b
+  ON b.product_key = t.product_key AND b.account_id = a.account_id AND b.period = p.period"""
+VIEWS["fine_sampled"] = _sampled_sql("fine_spine")
+_FINE = replace(CONFIG, feature_level="LEVEL6", candidate_levels=("LEVEL5", "LEVEL6"))
+
+
+@query(
+    """SELECT split_part(s.product_key, '|', 2) AS product_code, split_part(s.product_key, '|', 1) AS level,
+       s.account_id, s.period, s.label, CAST(coalesce(b.n, 0) + o.ones AS BIGINT) AS n_features,
+       CAST(coalesce(b.total, 0) + o.ones AS DOUBLE) AS total
+FROM fine_sampled s
+JOIN (SELECT account_id, CASE WHEN master_code IS NULL THEN 0 ELSE 1 END
+                         + CASE WHEN internal_segment IS NULL THEN 0 ELSE 1 END AS ones FROM eligible) o
+  ON o.account_id = s.account_id
+LEFT JOIN fine_behaviour b ON b.account_id = s.account_id AND b.period = s.period"""
+)
+def fine_training_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Sampled rows of all level 5 and 6 products; of their vectors the size and the sum."""
+    table, _, _ = training_table(spark, src.inputs(spark, sf), _FINE)
+    values = vector_to_array("features")
+    return table.select(
+        "product_code",
+        "level",
+        "account_id",
+        "period",
+        "label",
+        F.size(F.filter(values, lambda x: x != 0)).cast("long").alias("n_features"),
+        F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x).alias("total"),
+    )
