@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +27,7 @@ from leadlift.operators.features import (
     wide,
 )
 from leadlift.operators.hierarchy import branch_nodes, tree_nodes
-from leadlift.operators.vectors import correlated, feature_names, vector_table
+from leadlift.operators.vectors import dropped, feature_names, strong_pairs, vector_table
 from leadlift.plans.train import training_table
 from leadlift.sources.scratch import materialise
 
@@ -343,9 +342,9 @@ def correlated_features(spark: SparkSession, sf: str) -> DataFrame:
     accounts = eligible_accounts(src.master(spark, sf), src.roles(spark, sf))
     base = accounts.select("account_id", F.lit(1).alias("period"))
     names = feature_names(tree_nodes(src.tree(spark, sf)), FEATURE_LEVEL)
-    matrix = Correlation.corr(vector_table(base, rows, names, {}), "features").first()[0].toArray()
-    both = set(correlated(matrix, 0.25, "drop_both"))
-    first = set(correlated(matrix, 0.25, "keep_first"))
+    vectors = vector_table(base, rows, names, {})
+    pairs = materialise(strong_pairs(vectors, "features", 0.25), "pairs")
+    both, first = set(dropped(pairs, "drop_both")), set(dropped(pairs, "keep_first"))
     return spark.createDataFrame(
         [(n, i in both, i in first) for i, n in enumerate(names)],
         "feature string, drop_both boolean, keep_first boolean",

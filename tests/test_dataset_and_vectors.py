@@ -136,6 +136,39 @@ def test_constant_features_are_not_correlated(spark):
     assert correlated_features(df, mode="drop_both") == [0, 2]
 
 
+@pytest.mark.parametrize("mode", ["keep_first", "drop_both"])
+def test_strong_pairs_equal_the_whole_matrix(spark, mode):
+    """Sparse counts, copies, sums, complements that never meet, and columns of zeros."""
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.stat import Correlation
+
+    draw = np.random.default_rng(5)
+    x = draw.poisson(0.4, size=(150, 14)).astype(float)
+    x[:, 3] = x[:, 1]
+    x[:, 5] = x[:, 2] + x[:, 4]
+    x[:, 6] = draw.random(150) < 0.6
+    x[:, 7] = 1 - x[:, 6]
+    x[:, 8] = 0
+    x[:, 9] = -x[:, 0] * (draw.random(150) < 0.8)
+    df = spark.createDataFrame([(Vectors.sparse(14, [(j, v) for j, v in enumerate(r) if v]),) for r in x], ["features"])
+    matrix = Correlation.corr(df, "features").first()[0].toArray()
+    for threshold in (0.25, 0.6, 0.9):
+        assert correlated_features(df, "features", threshold, mode) == correlated(matrix, threshold, mode)
+
+
+def test_thirty_thousand_features_need_no_matrix(spark):
+    from pyspark.ml.linalg import Vectors
+
+    draw = np.random.default_rng(6)
+    rows = []
+    for _ in range(300):
+        at = sorted({int(i) for i in draw.integers(0, 14_000, 12)})
+        rows.append((Vectors.sparse(30_000, [(i, 1.0) for i in at] + [(i + 15_000, 3.0) for i in at]),))
+    got = correlated_features(spark.createDataFrame(rows, ["features"]), "features", 0.6)
+    seen = {int(i) for r in rows for i in r[0].indices}
+    assert {i for i in seen if i >= 15_000} <= set(got) <= seen
+
+
 def test_fit_rows_are_bounded_and_keep_the_rare_class(spark):
     from leadlift.operators.training import fit_sample
 
