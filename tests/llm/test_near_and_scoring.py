@@ -282,6 +282,9 @@ def page(body, nav="", tail=""):
         ("<div>" * 3000 + "deep", "deep"),
         ("<a <b <c " * 2000, ""),
         ("x" + "<" * 5000, "x" + "<" * 5000),
+        (page("<article class='post comments-open'><header class='entry-header'><h1>t</h1></header><p>a</p><article class='comment'>no</article></article>"), "t a"),
+        (page("<div class='page with-sidebar'><div class='sidebar'>s</div><article><p>a</p></article></div>"), "a"),
+        (page("<div class='site-header'>s</div><div><p>a</p><div id='comments'><p>c</p></div></div><div class='cookie-notice'>n</div>"), "a"),
         ("<p title='a>b' data-x=\"<p>\">t</p>", "t"),
     ],
 )
