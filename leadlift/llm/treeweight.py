@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from leadlift.llm.common import fields, query, remainder_column, scratch, slices, table, words
 
 DEPTH, TAIL = 5, 3
-WORDS, KEYS = 400_000, 1_000_000
+WORDS, KEYS = 250_000, 400_000
 END, BLANK = b"\n", 0x20
 HALF = float(np.log(0.5))
 
@@ -263,7 +263,7 @@ def symbol_scores(contexts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, out)
 
 
-def head_of(rows: DataFrame, weight: str, most: int):
+def head_of(rows: DataFrame, weight: str, most: int) -> pa.Table:
     """The rows of greatest weight, ``most`` at most and none of weight 0.
 
     The bound is found among steps of a twelfth of a power of two, so few rows are counted.
@@ -276,12 +276,12 @@ def head_of(rows: DataFrame, weight: str, most: int):
             break
         least, held = at, held + n
     chosen = rows.filter(F.lit(False)) if least is None else rows.filter((F.col(weight) > 0) & (step >= least))
-    return chosen.toPandas()
+    return chosen.toArrow().combine_chunks()
 
 
 def key_head(rows: DataFrame, weight: str):
-    head = head_of(rows.select("key", "lp", weight), weight, KEYS).sort_values("key")
-    return rows.sparkSession.sparkContext.broadcast((head["key"].to_numpy(np.int64), head["lp"].to_numpy(float)))
+    head = head_of(rows.select("key", "lp", weight), weight, KEYS).sort_by("key")
+    return rows.sparkSession.sparkContext.broadcast((head["key"].to_numpy(), head["lp"].to_numpy()))
 
 
 def look_up(known: np.ndarray, lp: np.ndarray, key: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -348,7 +348,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     scored = word_scores(vocabulary, symbols)
     head = head_of(scored.withColumn("base", base), "c", WORDS)
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(({bytes(w): i for i, w in enumerate(head["word"])}, head["lp"].to_numpy(float), head["base"].to_numpy(float)))
+    shared = context.broadcast((head["word"], head["lp"].to_numpy(), head["base"].to_numpy()))
     shared_keys = key_head(symbols.filter("uses = 0"), "c")
     out = fields(
         id="long", doc_id="long", learn="boolean", n_tokens="long", n_bytes="long", known="long", base="double", lp="double",
@@ -359,7 +359,8 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
         """A row per text with the sums over the heads; a row per word or start outside them."""
         from pyspark import TaskContext
 
-        at_of, lp, base_of = shared.value
+        head_words, lp, base_of = shared.value
+        at_of = {w: i for i, w in enumerate(head_words.to_pylist())}
         next_id = TaskContext.get().partitionId() << 36
         for batch in slices(batches, 1 << 22):
             texts = [words(v) for v in batch.column(2).to_pylist()]
