@@ -47,7 +47,7 @@ class Encoder:
 
     SIGNS = ".,;:!?#$%&*|"
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
