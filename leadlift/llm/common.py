@@ -33,14 +33,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage ends here."""
-    spark = df.sparkSession
+def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    path = f"{root.rstrip('/')}/leadlift-llm-{app}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/leadlift-llm-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's tables of this kind, once nothing reads them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage ends here."""
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from leadlift.llm import near
-from leadlift.llm.common import scratch
+from leadlift.llm.common import drop_scratch, scratch, scratch_root
 from tests.llm.test_near_and_scoring import brute_classes
 from tests.llm.test_row_operators import check_packing
 
@@ -81,3 +81,20 @@ def test_run_over_the_fixture_tables(spark):
     assert kept and kept < {r.doc_id for r in docs.select("doc_id").collect()}
     gone = {r.doc_id for r in near.classes(docs).filter("kept = false").collect()}
     assert len(kept & gone) <= len(gone)
+
+
+def test_scratch_needs_a_shared_folder_and_can_be_dropped(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        scratch_root(Session())
+    kept = scratch(spark.range(3), "dropped")
+    assert kept.count() == 3 and all("/leadlift-llm-" in f for f in kept.inputFiles())
+    drop_scratch(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
