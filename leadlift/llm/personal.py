@@ -1,12 +1,20 @@
 """Personal data, and terms that give it away, by an information-theoretic measure.
 
 Four kinds are found by pattern: email, ip, card, phone. Their values are the protected
-entities. The words within ``REACH`` words before and behind a mention co-occur with the
-entity; counts of texts give log2(n(e,t) D / (n(e) n(t))), how many bits of the entity a
-term gives away, against log2(D / n(e)), all there are. A term that co-occurs with an
-entity in at least ``support`` different texts and gives away at least the share
-``threshold`` of its bits is a span of kind ``term`` at such mentions, to be
-generalised or removed; ``sanitise`` does both.
+entities. All words of the texts that mention an entity co-occur with it; counts of
+documents give log2(n(e,t) D / (n(e) n(t))), how many bits of the entity a term gives away,
+against log2(D / n(e)), all there are. A term that gives away at least the share ``threshold``
+of an entity's bits is a span of kind ``term`` wherever it stands in the texts that mention the
+entity, to be generalised or removed; ``sanitise`` does both.
+
+Texts share words by chance. The bits of an entity that stands in several texts are therefore
+corrected for small counts, by n(e,t) / (n(e,t) + 1) times m / (m + 1), m the lesser of n(e)
+and n(t). They are not where the term stands within ``REACH`` words of the entity in
+``support`` different texts, nor where one text alone has the entity: who finds the text
+finds the entity, and no other text could show more.
+
+A word is what lies between white space and emails; it is a term by its letters, three at
+least and in one stretch.
 
 Only DataFrame functions are used. Offsets come from the lengths of what lies between
 matches, added up over a text's matches. The patterns never walk the same stretch twice:
@@ -34,10 +42,13 @@ PATTERNS = (
 )
 #: A sign without which there is no match.
 NEEDS = ("@", ".", None, "+")
+#: Stands for a place of an email; no character of any text.
+GAP = "\uFFFF"
 REACH = 4
-#: Code points looked at on each side of a mention.
+#: Code points looked at on each side of a mention for words within ``REACH``.
 NEAR = 80
 SPACE = r"[\x20\x09-\x0D]"
+BETWEEN = rf"[\x20\x09-\x0D{GAP}]"
 
 
 def digits(value: Column) -> Column:
@@ -71,11 +82,12 @@ def valid(kind: Column, value: Column) -> Column:
     )
 
 
-def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, h, kind, start, end, value, before, behind): base matches that hold.
+def entity() -> Column:
+    return F.concat(F.col("kind").cast("string"), F.lit(":"), F.lower("value"))
 
-    ``before`` and ``behind`` are the text next to the match, up to its neighbour.
-    """
+
+def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(d, h, t, found): texts with a match that may hold, and the matches of each kind."""
     d, h = row_key(doc_id, text)
     rows = docs.select(d, h, F.coalesce(F.col(text), F.lit("")).alias("t")).filter(F.col("t") != "")
     none = F.array().cast("array<string>")
@@ -84,8 +96,19 @@ def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         matches = F.regexp_extract_all("t", F.lit(pattern), F.lit(0))
         if need:
             matches = F.when(F.col("t").contains(need), matches).otherwise(none)
+        if KINDS[kind] == "card":
+            matches = F.when(F.exists(matches, lambda x: F.length(x) >= 16), matches).otherwise(none)
         found.append(F.struct(F.lit(kind).alias("kind"), matches.alias("m")))
-    each = rows.select("d", "h", "t", F.explode(F.array(*found)).alias("x")).filter(F.size("x.m") > 0)
+    found = F.filter(F.array(*found), lambda x: F.size(x["m"]) > 0)
+    return rows.select("d", "h", "t", found.alias("found")).filter(F.size("found") > 0)
+
+
+def mentions(texts: DataFrame) -> DataFrame:
+    """(d, h, kind, start, end, value, before, behind): base matches that hold.
+
+    ``before`` and ``behind`` are the text next to the match, up to its neighbour.
+    """
+    each = texts.select("d", "h", "t", F.explode("found").alias("x"))
     pattern = F.element_at(F.array(*map(F.lit, PATTERNS)), F.col("x.kind") + 1)
     between = each.select("d", "h", "x.kind", "x.m", F.split("t", pattern, -1).alias("b"))
     listed = F.transform(
@@ -132,8 +155,7 @@ def nearby_terms(found: DataFrame) -> DataFrame:
     near = F.concat(
         listed(before, F.reverse(before), F.col("start"), -1), listed(behind, behind, F.col("end"), 1)
     )
-    entity = F.concat(F.col("kind").cast("string"), F.lit(":"), F.lower("value"))
-    words = found.select("d", "h", entity.alias("entity"), F.explode(near).alias("x")).filter("x.whole")
+    words = found.select("d", "h", entity().alias("entity"), F.explode(near).alias("x")).filter("x.whole")
     head = F.regexp_extract("x.w", r"^[^\p{L}]*", 0)
     core = F.regexp_extract("x.w", r"^[^\p{L}]*(\p{L}+)[^\p{L}]*$", 1)
     words = words.select(
@@ -142,22 +164,70 @@ def nearby_terms(found: DataFrame) -> DataFrame:
     return words.filter("n >= 3").select("d", "h", "entity", "term", "start", (F.col("start") + F.col("n")).alias("end"))
 
 
-def disclosing(docs: DataFrame, near: DataFrame, support: int, threshold: float, text: str = "text") -> DataFrame:
-    """(entity, term): terms that give away an entity beyond the threshold.
+def blanked(text: Column) -> Column:
+    """The text with as many ``GAP`` in place of each email and of what runs on from it.
 
-    Counts are of documents; ``support`` is of different texts.
+    Other matches have no letters.
     """
+    pattern, need = PATTERNS[0], NEEDS[0]
+    gone = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    blanks = F.concat(F.transform(gone, lambda x: F.repeat(F.lit(GAP), F.length(x))), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(F.split(text, pattern, -1), blanks, lambda x, y: F.concat(x, y)), "")
+    return F.when(text.contains(need), F.regexp_replace(joined, rf"(?:\G(?!^)|(?<={GAP}))[\p{{L}}\p{{N}}]", GAP)).otherwise(text)
+
+
+def terms_of(texts: DataFrame) -> DataFrame:
+    """(h, term, start, end): where the terms of each text (h, t) stand."""
+    # One step at a time, so that no expression holds copies of the one before.
+    texts = texts.select("h", F.split(blanked(F.col("t")), BETWEEN, -1).alias("parts"))
+    each = texts.select("h", F.posexplode("parts").alias("i", "w"))
+    so_far = Window.partitionBy("h").orderBy("i")
+    each = each.withColumn("at", F.sum(F.length("w").cast("long") + 1).over(so_far) - F.length("w") - 1)
+    core = F.regexp_extract("w", r"^[^\p{L}]*+(\p{L}++)[^\p{L}]*+$", 1)
+    each = each.withColumn("core", core).filter(F.length("core") >= 3)
+    head = F.length(F.regexp_extract("w", r"^[^\p{L}]*+", 0))
+    each = each.select("h", F.lower("core").alias("term"), (F.col("at") + head).alias("start"), F.length("core").alias("n"))
+    return each.select("h", "term", "start", (F.col("start") + F.col("n")).alias("end"))
+
+
+def telling(threshold: float, n_all: int, share: Column | float = 1.0) -> Column:
+    """Whether a term gives away the threshold's share of an entity, its bits taken times ``share``."""
+    bits = F.log2(F.col("n_both") * n_all / (F.col("n_entity") * F.col("n_term")))
+    return bits * share >= threshold * F.log2(n_all / F.col("n_entity"))
+
+
+def disclosing_near(near: DataFrame, n_term: DataFrame, n_all: int, support: int, threshold: float) -> DataFrame:
+    """(entity, term): terms that by the mentions they stand next to give away an entity."""
     both = near.groupBy("entity", "term").agg(
         F.count_distinct("d", "h").alias("n_both"), F.count_distinct("h").alias("texts")
     )
     both = both.filter(F.col("texts") >= support)
     n_entity = near.groupBy("entity").agg(F.count_distinct("d", "h").alias("n_entity"))
-    parted = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+", -1))
-    n_term = docs.select(F.explode(parted).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n_all = docs.agg(F.count("*").alias("n")).scalar()
-    rated = both.join(n_entity, "entity").join(n_term, "term")
-    bits = F.log2(F.col("n_both") * n_all / (F.col("n_entity") * F.col("n_term")))
-    return rated.filter(bits >= threshold * F.log2(n_all / F.col("n_entity"))).select("entity", "term")
+    return both.join(n_entity, "entity").join(n_term, "term").filter(telling(threshold, n_all)).select("entity", "term")
+
+
+def disclosing(entities: DataFrame, own: DataFrame, near: DataFrame, n_all: int, threshold: float) -> DataFrame:
+    """(h, term): terms of a text that give away an entity mentioned there.
+
+    ``entities`` has the entities of each text with its number of documents, (h, entity, n),
+    ``own`` the terms, (h, term, n_term), ``near`` what ``disclosing_near`` found.
+    """
+    of_entity = entities.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_texts"), F.min("h").alias("h"))
+    of_entity = scratch(of_entity, "pii-entities")
+    some = F.col("n_entity") < n_all  # An entity of all documents has no bits.
+    # All entities of one text alone co-occur alike with its terms.
+    alone = of_entity.filter("n_texts = 1").select("h", "n_entity", F.col("n_entity").alias("n_both")).distinct()
+    single = own.join(alone, "h").filter(some & telling(threshold, n_all)).select("h", "term")
+    several = of_entity.filter("n_texts > 1").select("entity", "n_entity")
+    pairs = entities.join(several, "entity").join(own, "h")
+    both = pairs.groupBy("entity", "term").agg(
+        F.sum("n").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
+    )
+    less = F.least("n_entity", "n_term")
+    small = F.col("n_both") / (F.col("n_both") + 1) * less / (less + 1)
+    rated = both.filter(some & telling(threshold, n_all, small)).select("entity", "term").unionByName(near)
+    shared = pairs.select("h", "entity", "term").join(rated, ["entity", "term"], "left_semi").select("h", "term")
+    return single.unionByName(shared).distinct()
 
 
 def find(docs: DataFrame, support: int = 2, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -166,11 +236,28 @@ def find(docs: DataFrame, support: int = 2, threshold: float = 0.5, doc_id: str
     Kinds 0 to 3 are the base in the order of ``KINDS``, 4 is ``term``; offsets are code
     points, the end exclusive.
     """
-    base = scratch(mentions(docs, doc_id, text), "pii-mentions")
-    near = nearby_terms(base)
-    telling = scratch(disclosing(docs, near, support, threshold, text), "pii-telling")
-    terms = near.join(telling, ["entity", "term"], "left_semi").select("d", "h", F.lit(4).alias("kind"), "start", "end")
-    spans = base.select("d", "h", "kind", "start", "end").unionByName(terms)
+    rows = scratch(candidates(docs, doc_id, text), "pii-texts")
+    base = scratch(mentions(rows), "pii-mentions")
+    # Texts alike are looked at once.
+    texts = rows.join(base.select("d", "h").distinct(), ["d", "h"], "left_semi")
+    texts = scratch(texts.groupBy("h").agg(F.first("t").alias("t"), F.count("*").alias("n")), "pii-distinct")
+    terms = scratch(terms_of(texts), "pii-terms")
+    near = scratch(nearby_terms(base), "pii-near")
+    parted = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), r"[^\p{L}]+", -1), lambda x: F.lower(x))
+    n_term = docs.select(F.explode(F.array_distinct(parted)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    wanted = terms.select("term").unionByName(near.select("term")).distinct()
+    n_term = scratch(n_term.join(wanted, "term", "left_semi"), "pii-counts")
+    n_all = docs.count()
+    telling_near = scratch(disclosing_near(near, n_term, n_all, support, threshold), "pii-telling")
+    entities = base.select("h", entity().alias("entity")).distinct().join(texts.select("h", "n"), "h")
+    own = scratch(terms.select("h", "term").distinct().join(n_term, "term"), "pii-own")
+    marked = terms.join(disclosing(entities, own, telling_near, n_all, threshold), ["h", "term"], "left_semi")
+    holders = base.select("d", "h").distinct()
+    spans = (
+        base.select("d", "h", "kind", "start", "end")
+        .unionByName(holders.join(marked, "h").select("d", "h", F.lit(4).alias("kind"), "start", "end"))
+        .unionByName(near.join(telling_near, ["entity", "term"], "left_semi").select("d", "h", F.lit(4).alias("kind"), "start", "end"))
+    )
     each = spans.groupBy("d", "h").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "end"))).alias("spans"))
     d, h = row_key(doc_id, text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), d, h).join(each, ["d", "h"], "left")
