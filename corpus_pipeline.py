@@ -18,6 +18,8 @@ from leadlift.llm.common import query, scratch, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text is kept if its language holds at least this share of its n-grams.
 LEAST_SCORE = 0.4
+#: A line of so many words is a repeat by itself; shorter ones only in runs.
+LEAST_LINE = 6
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes later repeats of runs of lines; a document that loses all its lines goes."""
-    left = lines.dedup_lines(docs, keep=[c for c in COLUMNS if c not in ("doc_id", "text")])
+    """Deletes later repeats of runs of lines and of long lines; a document that loses all its lines goes."""
+    left = lines.dedup_lines(docs, keep=[c for c in COLUMNS if c not in ("doc_id", "text")], alone=LEAST_LINE)
     whole = (F.col("n_removed") == 0) | (F.trim("text") != "")
     n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
     changed = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, n_chars).otherwise(F.col("n_chars")))

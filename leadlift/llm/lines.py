@@ -9,8 +9,11 @@ stands earlier in the corpus, by (doc_id, line), is a repeat, overlapping repeat
 merge into longer runs, and their lines are deleted. Everything is DataFrame code;
 what is grouped are hashes, with the earliest place of each combined before a shuffle.
 
-Defined cases: a NULL text stays NULL with no lines; a text of fewer than ``window``
-non-blank lines is left alone; blank lines are kept and do not count; a text that loses
+With ``alone`` a line of so many words is a run by itself, whatever its neighbours are, and of a
+text of any number of lines; shorter lines still need a run of ``window``.
+
+Defined cases: a NULL text stays NULL with no lines; without ``alone`` a text of fewer than
+``window`` non-blank lines is left as it is; blank lines are kept and do not count; a text that loses
 all its lines becomes empty; rows alike in id and text share a place and so do not
 repeat each other; a NULL doc_id comes before all others; other columns are ignored.
 """
@@ -84,8 +87,23 @@ def repeated_windows(prints: DataFrame, window: int) -> DataFrame:
     return windows.join(first, ["k1", "k2"]).filter("place > first").select("d", "h", "lines")
 
 
+def repeated_lines(docs: DataFrame, least: int, text: str = "text") -> DataFrame:
+    """(d, h, lines): the lines of ``least`` words or more that stand earlier in the corpus."""
+    d, h = row_key(text=text)
+    split = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("at"), normal(x).alias("x")))
+    long = F.filter(split, lambda s: F.size(F.split(s["x"], " ", -1)) >= least)
+    hashed = F.transform(
+        long, lambda s: F.struct(F.xxhash64(s["x"]).alias("k1"), F.xxhash64(F.lit(1), s["x"]).alias("k2"), s["at"].alias("at"))
+    )
+    places = docs.filter(F.col(text).isNotNull()).select(d, h, F.explode(hashed).alias("x")).select("d", "h", "x.*")
+    places = scratch(places.withColumn("place", F.struct("d", "h", "at")), "line-alone")
+    first = places.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    first = scratch(first.filter("first < last").drop("last"), "line-alone-first")
+    return places.join(first, ["k1", "k2"]).filter("place > first").select("d", "h", F.array("at").alias("lines"))
+
+
 def dedup_lines(
-    docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = ()
+    docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = (), alone: int | None = None
 ) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_lines (not blank), n_removed, and the text left.
 
@@ -94,6 +112,8 @@ def dedup_lines(
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keep)
     prints = scratch(fingerprints(docs, window), "line-prints")
     later = repeated_windows(prints, window)
+    if alone is not None:
+        later = later.unionByName(repeated_lines(docs, alone))
     runs = later.groupBy("d", "h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines")))).alias("gone"))
     d, h = row_key()
     joined = docs.select("doc_id", "text", *keep, d, h).join(runs, ["d", "h"], "left")
