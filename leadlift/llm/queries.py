@@ -11,6 +11,7 @@ from leadlift.llm import (  # noqa: F401
     paragraphs,
     personal,
     quality,
+    resampling,
     treeweight,
 )
 from leadlift.llm.common import ORACLES, QUERIES  # noqa: F401
