@@ -10,6 +10,7 @@ from leadlift.llm import (  # noqa: F401
     packing,
     paragraphs,
     personal,
+    phrases,
     quality,
     resampling,
     treeweight,
