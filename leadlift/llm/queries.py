@@ -3,6 +3,7 @@
 import corpus_pipeline  # noqa: F401
 from leadlift.llm import (  # noqa: F401
     benchmark,
+    caps,
     language,
     lines,
     markup,
