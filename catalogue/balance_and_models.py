@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import inputs as src
+from catalogue.features_and_sets import _INDEX, NAMES, training_set
 from catalogue.inputs import CONFIG, VIEWS
 from catalogue.registry import query
-from leadlift.operators import balance, metrics
+from leadlift.operators import balance, forest, metrics
 from leadlift.operators.accounts import eligible_accounts
 from leadlift.operators.neighbours import nearest_neighbours as knn
 from leadlift.operators.scoring import registered_models
@@ -19,7 +20,7 @@ from leadlift.plans.score import run_score, scoring_vectors
 from leadlift.plans.train import run_train
 from leadlift.sources.readers import read_table
 from leadlift.sources.schemas import MODEL_METRICS, MODEL_REGISTRY, SCORE
-from leadlift.sources.scratch import scratch_path
+from leadlift.sources.scratch import materialise, scratch_path
 
 VIEWS["points"] = """
 SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, CASE WHEN label = 0 THEN 1 ELSE 0 END AS label
@@ -165,27 +166,18 @@ def classification_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# A small search, so that five products train in reasonable time on one machine.
-MODEL_CONFIG = replace(
-    CONFIG,
-    balance="weights",
-    grid={"numTrees": (10,), "maxDepth": (4, 6), "minInstancesPerNode": (1,), "weighting": ("balanced",)},
-    folds=2,
-)
-# The default balancing, with one setting.
-BALANCED_CONFIG = replace(
-    CONFIG, grid={"numTrees": (5,), "maxDepth": (4,), "minInstancesPerNode": (1,), "weighting": ("none",)}
-)
-_trained: dict[tuple[str, str, str], str] = {}
+# The default search, folds and balancing, on few rows of each product.
+MODEL_CONFIG = replace(CONFIG, fit_rows=200)
+_trained: dict[tuple[str, str], str] = {}
 
 
-def trained(spark: SparkSession, sf: str, config=MODEL_CONFIG) -> str:
+def trained(spark: SparkSession, sf: str) -> str:
     """Folder of the models trained on ``sf`` in this application; trained on first use."""
-    key = (spark.sparkContext.applicationId, sf, config.balance)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
         root = scratch_path(spark, "models")
         run_train(
-            spark, src.inputs(spark, sf), config, f"{root}/models", f"{root}/registry", f"{root}/metrics"
+            spark, src.inputs(spark, sf), MODEL_CONFIG, f"{root}/models", f"{root}/registry", f"{root}/metrics"
         )
         _trained[key] = root
     return _trained[key]
@@ -217,7 +209,7 @@ def held_out_support(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT product_code, 'LEVEL1' AS level, 'generic' AS model_type, '20010815' AS trained_on FROM ({_TRAINED})")
 def registered_products(spark: SparkSession, sf: str) -> DataFrame:
     """The models that the default balancing trains: over-sampling, then link cleaning."""
-    registry = read_table(spark, f"{trained(spark, sf, BALANCED_CONFIG)}/registry", MODEL_REGISTRY)
+    registry = read_table(spark, f"{trained(spark, sf)}/registry", MODEL_REGISTRY)
     balanced = registry.filter(F.col("settings")["balance"] == "smote_tomek")
     return balanced.select("product_code", "level", "model_type", "trained_on")
 
@@ -260,3 +252,88 @@ def scoring_run(spark: SparkSession, sf: str) -> DataFrame:
         f"{root}/copies",
     )
     return read_table(spark, f"{root}/scores", SCORE)
+
+
+def _split_sql(source: str, by: str) -> str:
+    """The best cut of each group by Gini, of equal ones the first feature and value."""
+    return f"""
+SELECT {by}, feature, idx, value AS threshold FROM (
+  SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY round(gain, 6) DESC, idx, value) AS place FROM (
+    SELECT *, (l0 * l0 + l1 * l1) / (l0 + l1) + ((t0 - l0) ** 2 + (t1 - l1) ** 2) / (t0 + t1 - l0 - l1)
+              - (t0 * t0 + t1 * t1) / (t0 + t1) AS gain
+    FROM (
+      SELECT *, sum(zeros) OVER w AS l0, sum(ones) OVER w AS l1,
+             sum(zeros) OVER (PARTITION BY {by}, idx) AS t0, sum(ones) OVER (PARTITION BY {by}, idx) AS t1
+      FROM (SELECT {by}, feature, idx, value, CAST(count(*) FILTER (label = 0) AS DOUBLE) AS zeros,
+                   CAST(count(*) FILTER (label = 1) AS DOUBLE) AS ones
+            FROM {source} GROUP BY {by}, feature, idx, value)
+      WINDOW w AS (PARTITION BY {by}, idx ORDER BY value))
+    WHERE l0 + l1 < t0 + t1 AND t0 > 0 AND t1 > 0)
+  WHERE gain > 1e-9 * (t0 + t1))
+WHERE place = 1"""
+
+
+VIEWS["long_rows"] = f"""
+SELECT split_part(s.product_key, '|', 2) AS product_code, s.account_id, s.period, s.label, i.feature, i.idx,
+       CAST(coalesce(b.value, 0) AS DOUBLE) AS value
+FROM sampled_rows s CROSS JOIN (VALUES {_INDEX}) i(feature, idx)
+LEFT JOIN behaviour_rows b ON b.account_id = s.account_id AND b.period = s.period AND b.feature = i.feature"""
+VIEWS["root_split"] = _split_sql("long_rows", "product_code")
+VIEWS["sided_rows"] = f"""
+SELECT r.*, CASE WHEN s.idx IS NULL THEN -1 WHEN v.value <= s.threshold THEN 0 ELSE 1 END AS side
+FROM long_rows r LEFT JOIN root_split s ON s.product_code = r.product_code
+LEFT JOIN long_rows v ON v.product_code = r.product_code AND v.account_id = r.account_id AND v.period = r.period AND v.idx = s.idx"""
+VIEWS["child_split"] = _split_sql("sided_rows", "product_code, side")
+VIEWS["row_sides"] = f"""
+SELECT r.product_code, r.account_id, r.period, r.label, r.side,
+       CASE WHEN c.idx IS NULL THEN -1 WHEN r.value <= c.threshold THEN 0 ELSE 1 END AS inner_side
+FROM sided_rows r LEFT JOIN child_split c ON c.product_code = r.product_code AND c.side = r.side
+WHERE r.idx = coalesce(c.idx, 0)"""
+#: One tree a product of two levels, on all rows, features and values: what SQL can grow too.
+TREE = (1, 2, 1, "none")
+
+
+def _tree_rows(spark: SparkSession, sf: str) -> DataFrame:
+    wide_rows = materialise(training_set(spark, sf), "tree-rows")
+    values = F.array(*[F.col(f"`{n}`").cast("double") for n in NAMES])
+    entries = F.filter(F.transform(values, lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda e: e["v"] != 0)
+    return wide_rows.select(
+        F.col("product_code").alias("model"), F.xxhash64("account_id", "period").alias("row"), "account_id", "period", "label",
+        F.lit(len(NAMES)).alias("size"), entries["i"].alias("indices"), entries["v"].alias("values"),
+    )
+
+
+def _trees(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
+    models = rows.select("model").distinct().select("model", *[F.lit(v).alias(n) for v, n in zip(TREE, ("numTrees", "maxDepth", "minInstancesPerNode", "weighting"))])
+    return materialise(forest.grow(rows, models, CONFIG.seed, 1, bootstrap=False, subset=False, bins=1_000_000), "trees")
+
+
+@query(
+    """SELECT s.product_code, CAST(0 AS INTEGER) AS node, x.feature, x.threshold, round(avg(s.label), 9) AS probability
+FROM row_sides s LEFT JOIN root_split x ON x.product_code = s.product_code GROUP BY ALL
+UNION ALL
+SELECT s.product_code, CAST(1 + s.side AS INTEGER), x.feature, x.threshold, round(avg(s.label), 9)
+FROM row_sides s LEFT JOIN child_split x ON x.product_code = s.product_code AND x.side = s.side WHERE s.side >= 0 GROUP BY ALL"""
+)
+def tree_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Of one tree a product, the root and its children: where they cut and their share of buyers."""
+    names = F.array(*[F.lit(n) for n in NAMES])
+    return _trees(_tree_rows(spark, sf)).filter("depth < 2").select(
+        F.col("model").alias("product_code"),
+        "node",
+        F.when(F.col("feature") >= 0, F.get(names, F.col("feature"))).alias("feature"),
+        F.when(F.col("feature") >= 0, F.col("threshold")).alias("threshold"),
+        F.round("probability", 9).alias("probability"),
+    )
+
+
+@query(
+    """SELECT product_code, account_id, period,
+       round(avg(label) OVER (PARTITION BY product_code, side, inner_side), 9) AS score FROM row_sides"""
+)
+def tree_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every training row scored by its product's tree, in several passes over the node table."""
+    rows = _tree_rows(spark, sf)
+    scored = forest.apply(rows, ["account_id", "period"], _trees(rows), per_pass=10, own=True)
+    return scored.select(F.col("model").alias("product_code"), "account_id", "period", F.round("score", 9).alias("score"))
