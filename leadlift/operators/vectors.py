@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg import Vectors as OldVectors
-from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlift.operators.features import PREFIX
+from leadlift.operators.forest import sparse
 from leadlift.operators.joins import dimension_join
+from leadlift.operators.prepare import strong_pairs_of_models
 from leadlift.sources.scratch import materialise
 
 
@@ -93,45 +90,11 @@ def correlated(matrix: np.ndarray, threshold: float, mode: str) -> list[int]:
 def strong_pairs(vectors: DataFrame, column: str, threshold: float) -> DataFrame:
     """(i, j), i < j: features whose correlation is beyond the threshold in size.
 
-    Only features that occur in a row together are multiplied, so the work follows the
-    entries and no p x p matrix is made; a driver holds p means and deviations. Features that never
-    meet are correlated by their means alone, r = - m_i m_j / (s_i s_j), which is
-    strong only if one of them is in most rows.
+    One table of vectors is one model's rows; no p x p matrix is made.
     """
-    spark = vectors.sparkSession
-    schema = "i long, j long"
-    found = vectors.select(Summarizer.metrics("count", "mean", "variance", "normL2").summary(F.col(column)).alias("m")).first()["m"]
-    n = found["count"]
-    if n < 2:
-        return spark.createDataFrame([], schema)
-    mean, norm = found["mean"].toArray(), found["normL2"].toArray()
-    spread = np.sqrt(found["variance"].toArray() * (n - 1))
-    known = spark.sparkContext.broadcast((mean, norm, spread))
-
-    def strong(entries: Iterator) -> Iterator[tuple[int, int]]:
-        mean, norm, spread = known.value
-        for e in entries:
-            base = spread[e.i] * spread[e.j]
-            if base > 0 and abs(e.value * norm[e.i] * norm[e.j] - n * mean[e.i] * mean[e.j]) > threshold * base:
-                yield min(e.i, e.j), max(e.i, e.j)
-
-    rows = vectors.select(column).rdd.map(lambda r: OldVectors.fromML(r[0]))
-    similar = RowMatrix(rows, numCols=len(mean)).columnSimilarities()
-    together = similar.entries.mapPartitions(strong).toDF(schema)
-
-    ratio = np.where(spread > 0, np.sqrt(n) * np.abs(mean) / np.where(spread > 0, spread, 1), 0.0)
-    often = np.flatnonzero(ratio > np.sqrt(threshold))
-    apart = [
-        (int(min(i, j)), int(max(i, j)))
-        for i in often
-        for j in np.flatnonzero(ratio * ratio[i] > threshold)
-        if i != j
-    ]
-    if not apart:
-        return together
-    met = similar.entries.map(lambda e: (min(e.i, e.j), max(e.i, e.j))).toDF(schema)
-    never = spark.createDataFrame(apart, schema).distinct().join(met, ["i", "j"], "left_anti")
-    return together.unionByName(never)
+    indices, values = sparse(column)
+    rows = vectors.select(F.lit("").alias("model"), indices, values)
+    return strong_pairs_of_models(rows, threshold).select(F.col("i").cast("long"), F.col("j").cast("long"))
 
 
 def correlated_features(
