@@ -34,6 +34,7 @@ from leadlift.sources.schemas import (
 )
 from leadlift.sources.scratch import materialise, run_scratch
 from leadlift.sources.sinks import append, dated_copy, replace_partitions
+from leadlift.sources.versions import drop_old_versions
 
 
 def scoring_lines(inputs: Inputs, config: RunConfig) -> DataFrame:
@@ -156,4 +157,6 @@ def _score(
     staged = materialise(staged_scores(raw, accounts, opens, config), "staged")
     # A product that was scored and has no rows left loses the ones it had.
     replace_partitions(staged, scores_path, values=[m["product_code"] for m in models])
+    # What the version before names stays, for readers that began on it.
+    drop_old_versions(spark, scores_path)
     dated_copy(staged.select("*", run_date), f"{copies_path}/staging")

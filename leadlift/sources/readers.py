@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlift.operators.joins import dimension_join
+from leadlift.sources import versions
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet table under ``schema``; Spark prunes the rest.
+    """A parquet table under ``schema``; Spark prunes the rest. Of a versioned table the
+    rows published last.
 
     The types of folder columns are the schema's too: a code of digits stays text.
     """
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    latest = versions.read(spark, path, schema)
+    found = spark.read.schema(schema).parquet(path) if latest is None else latest
+    return found.select(*schema.fieldNames())
 
 
 def read_recursive(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

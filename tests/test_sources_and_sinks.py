@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leadlift.sources import jdbc, readers, scratch, sinks
+from leadlift.sources import jdbc, readers, scratch, sinks, versions
 from leadlift.sources.schemas import SCORE, conform
 
 SOURCE = jdbc.JdbcSource("jdbc:x://host/db", "org.example.Driver", "me", "hidden")
@@ -74,6 +74,47 @@ def test_a_replaced_product_without_rows_is_emptied(spark, scores, rows):
     assert rows(got) == rows(scores.filter("product_code <> 'hot/1'"))
 
 
+def test_a_replacement_that_dies_before_it_is_published_changes_nothing(spark, scores, rows, monkeypatch):
+    path = scratch.scratch_path(spark, "died")
+    sinks.replace_partitions(scores, path)
+    newer = scores.withColumn("score", F.lit(9.0))
+
+    def dies(*args):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="lost"):
+        patch.setattr(versions, "publish", dies)
+        sinks.replace_partitions(newer, path)
+    assert rows(readers.read_table(spark, path, SCORE)) == rows(scores)
+    sinks.replace_partitions(newer, path)
+    assert rows(readers.read_table(spark, path, SCORE)) == rows(newer)
+
+
+def test_a_reader_keeps_its_version_and_old_ones_are_removed(spark, scores, rows):
+    path = scratch.scratch_path(spark, "versions")
+    for score in (1.0, 2.0, 3.0):
+        sinks.replace_partitions(scores.filter("product_code = 'p2'").withColumn("score", F.lit(score)), path)
+        if score == 2.0:
+            reader = readers.read_table(spark, path, SCORE)
+    versions.drop_old_versions(spark, path)
+    assert {r["score"] for r in reader.collect()} == {2.0}
+    assert {r["score"] for r in readers.read_table(spark, path, SCORE).collect()} == {3.0}
+    assert len([n for n in versions.Files(spark, path).names() if n.startswith("version=")]) == 2
+    sinks.replace_partitions(scores.filter("false"), path, values=["p2"])
+    assert readers.read_table(spark, path, SCORE).isEmpty()
+
+
+def test_of_two_writers_the_second_fails(spark, scores, rows):
+    path = scratch.scratch_path(spark, "two")
+    sinks.replace_partitions(scores, path)
+    files = versions.Files(spark, path)
+    number, content = versions.manifest(files)
+    versions.publish(files, number + 1, content)
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.publish(files, number + 1, {})
+    assert rows(readers.read_table(spark, path, SCORE)) == rows(scores)
+
+
 def test_a_run_leaves_no_scratch_behind(spark):
     with pytest.raises(ValueError), scratch.run_scratch(spark):
         path = scratch.scratch_path(spark, "x")
