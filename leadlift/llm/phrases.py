@@ -269,6 +269,18 @@ class Miner:
         return two.unionAll(three.filter(F.col("score") >= level))
 
 
+def first_places(df: DataFrame, most: int) -> dict[str, int]:
+    """Each language's score from which on ``most`` rows follow, to a thousandth; 0 if it has fewer.
+
+    Scores are counted by thousandths first, so a language's rows here are 1,001 at most.
+    """
+    width = SCALE // 1000
+    bins = df.groupBy("lang", F.expr(f"score div {width}").alias("bin")).agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("bin")))
+    reached = bins.withColumn("above", above).filter(F.col("above") >= most)
+    return {r[0]: r[1] * width for r in reached.groupBy("lang").agg(F.max("bin")).collect()}
+
+
 def ranked(df: DataFrame, order: list[Column], top: int, name: str) -> DataFrame:
     """The first ``top`` rows of each language; each task hands on no more than those."""
     placed = df.withColumn(name, F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
@@ -285,12 +297,11 @@ def mine(docs: DataFrame, top: int = TOP, least: int = LEAST, lang: str = "lang"
     settled: list[DataFrame] = []
     contended, open_langs = 2 * top, dict.fromkeys(totals, 0)
     while open_langs:
-        # The score of the pair at place ``contended`` is the round's threshold; 0 once all take part.
+        # The score from which ``contended`` pairs follow is the round's threshold; 0 once all take part.
         deep = [name for name in open_langs if totals[name] > contended]
         levels = dict.fromkeys(open_langs, 0)
         if deep:
-            best = ranked(pairs.filter(F.col("lang").isin(deep)).select("lang", "score"), [F.desc("score")], contended, "place")
-            levels |= {r[0]: r[1] for r in best.groupBy("lang").agg(F.min("score")).collect()}
+            levels |= first_places(pairs.filter(F.col("lang").isin(deep)), contended)
         triples = miner.grow(pairs.filter(F.col("lang").isin(list(levels))), levels)
         found = scratch(miner.survivors(pairs.filter(F.col("lang").isin(list(levels))), triples, levels), "phrase-survivors")
         enough = {r[0]: r[1] for r in found.groupBy("lang").agg(F.count("*")).collect()}
@@ -307,6 +318,10 @@ def mine(docs: DataFrame, top: int = TOP, least: int = LEAST, lang: str = "lang"
     for more in settled[1:]:
         found = found.unionAll(more)
     # Ties at the end are kept whole until their words are known.
+    from_score = first_places(found, top)
+    if from_score:
+        edge = F.create_map(*(F.lit(x) for item in from_score.items() for x in item))[F.col("lang")]
+        found = found.filter(F.col("score") >= F.coalesce(edge, F.lit(0)))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     found = scratch(found.withColumn("place", F.rank().over(best)).filter(F.col("place") <= top).drop("place"), "phrase-first")
     spelled = miner.vocabulary.select("lang", "w", F.col("word").cast("string").alias("word"))
