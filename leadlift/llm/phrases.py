@@ -140,7 +140,7 @@ def by_language(docs: DataFrame, seed: int, names: list[str], find) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(seed)
-        for batch in slices(batches, 1 << 24):
+        for batch in slices(batches, 1 << 23):
             texts: dict[str, list] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 texts.setdefault(lang, []).append(text)
@@ -163,7 +163,7 @@ def vocabulary(docs: DataFrame, seed: int) -> DataFrame:
 
         import xxhash
 
-        for batch in slices(batches, 1 << 24):
+        for batch in slices(batches, 1 << 23):
             found: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found.setdefault(lang, Counter()).update(words(text))
