@@ -286,6 +286,14 @@ def page(body, nav="", tail=""):
         (page("<div class='page with-sidebar'><div class='sidebar'>s</div><article><p>a</p></article></div>"), "a"),
         (page("<div class='site-header'>s</div><div><p>a</p><div id='comments'><p>c</p></div></div><div class='cookie-notice'>n</div>"), "a"),
         ("<p title='a>b' data-x=\"<p>\">t</p>", "t"),
+        ("<article><p title='a hidden gem'>one</p><p title='display: none'>two</p><p style='color:red; display : none'>no</p></article>", "one two"),
+        ("<article><div class='social history'>a</div><div id='search-results'>b</div><div class='search-form'>no</div></article>", "a b"),
+        ("<article><p aria-hidden=true>no</p><p aria-hidden='false'>a</p><p hidden='until-found'>b</p><p hidden>no</p></article>", "a b"),
+        ("<article><p>a <button>never closed</p><p>b</p></article>", "a never closed b"),
+        ("<article><svg><svg><text>no</text></svg><text>no</text></svg>a<object><object>no</object>no</object>b</article>", "ab"),
+        ("<article><p>a</p><select><option>no<option>no</select><button><div>no</div></button><p>b</p></article>", "a b"),
+        ("<article>" + "<div>" * 4000 + "<form>no</form><p>deep" + "</div>" * 4000 + "end</article>", "deep end"),
+        ("<b>" * 20000 + "</i>" * 20000 + "x", "x"),
     ],
 )
 def test_main_text(html, want):
@@ -332,3 +340,56 @@ def test_templates_are_counted_per_host(spark, monkeypatch, broadcast):
 
 def test_hosts():
     assert [markup.host_of(u) for u in ("http://A.b:80/x", "//u@c.d?q", "e.f/g", None, "")] == ["a.b", "c.d", "e.f", "", ""]
+
+
+def test_templates_inside_articles_match_a_count_of_blocks(spark):
+    """Random sites put together from blocks; expected texts from the blocks alone."""
+    import random
+
+    rng = random.Random(5)
+    block = lambda name: f"<div class='b1'><p>{name} one</p><p>{name} <b>two</b></p></div>"
+    words_of = lambda name: f"{name} one {name} two"
+    sites = []
+    for host in range(6):
+        marked = host % 2 == 0
+        for i in range(14):
+            blocks = [f"story{host}x{rng.randrange(10)}"]
+            for common, chance in (("share", 0.9), ("promise", 0.5), ("rare", 0.2)):
+                if rng.random() < chance:
+                    blocks.append(common)
+            rng.shuffle(blocks)
+            sites.append((len(sites), f"http://h{host}.example/{i}", marked, tuple(blocks)))
+    rows = [
+        (i, url, "<body><div>menu</div>" + ("<article>" if marked else "") + "".join(map(block, blocks)) + ("</article>" if marked else ""))
+        for i, url, marked, blocks in sites
+    ]
+    want, changed = {}, 0
+    for i, url, marked, blocks in sites:
+        same = [s for s in sites if s[1].split("/")[2] == url.split("/")[2]]
+        bodies = {s[3] for s in same} if marked else [s[3] for s in same]
+        least = max(5, (0.5 if marked else 0.05) * len(bodies))
+        often = lambda name: sum(name in b for b in bodies) >= least
+        menu = [] if marked or len(same) >= 5 else ["menu"]
+        want[i] = " ".join(menu + [words_of(b) for b in blocks if not often(b)])
+        changed += marked and any(map(often, blocks))
+    assert changed > 20
+    got = {r.page_id: r.text for r in markup.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("broadcast", [10**6, -1])
+def test_an_unlisted_block_in_every_article_goes(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(markup, "BROADCAST", broadcast)
+    bar = "<div class='xq'><span>Read our newsletter now</span></div>"
+    rows = [(i, f"http://s.example/{i}", f"<article><h1>Title</h1><p>the <b>text</b> {i}</p>{bar}<ul><li>yes</li><li>n{i}</li></ul></article>") for i in range(9)]
+    # Copies under many addresses are one article, which does not make its text template.
+    rows += [(100 + i, f"http://c.example/{i}", "<article><p>one story</p></article>") for i in range(30)]
+    # Exactly at the bound: five of ten articles.
+    rows += [(200 + i, f"http://t.example/{i}", f"<article><p>s{i}</p>{bar if i < 5 else ''}</article>") for i in range(10)]
+    # Below it: four of eight are fewer than five articles.
+    rows += [(300 + i, f"http://u.example/{i}", f"<article><p>s{i}</p>{bar if i < 4 else ''}</article>") for i in range(8)]
+    got = {r.page_id: r.text for r in markup.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    want = {i: f"Title the text {i} yes n{i}" for i in range(9)} | {100 + i: "one story" for i in range(30)}
+    want |= {200 + i: f"s{i}" for i in range(10)}
+    want |= {300 + i: f"s{i}" + (" Read our newsletter now" if i < 4 else "") for i in range(8)}
+    assert got == want
