@@ -7,11 +7,15 @@ against log2(D / n(e)), all there are. A term that gives away at least the share
 of an entity's bits is a span of kind ``term`` wherever it stands in the texts that mention the
 entity, to be generalised or removed; ``sanitise`` does both.
 
-Texts share words by chance. The bits of an entity that stands in several texts are therefore
+The share of bits alone would let ever more frequent terms pass as the corpus grows. A term
+must therefore also lead to the entity: who looks it up may be log2(n(t) / n(e,t)) bits away
+from it, at most ``left`` (1 - 1 / k) for an entity of k different texts. The one text of an
+entity shows least, so only terms that no document without the entity has count there.
+
+Texts share words by chance. The bits of an entity that stands in several texts are
 corrected for small counts, by n(e,t) / (n(e,t) + 1) times m / (m + 1), m the lesser of n(e)
 and n(t). They are not where the term stands within ``REACH`` words of the entity in
-``support`` different texts, nor where one text alone has the entity: who finds the text
-finds the entity, and no other text could show more.
+``support`` different texts, nor where one text alone has the entity.
 
 A word is what lies between white space and emails; it is a term by its letters, three at
 least and in one stretch.
@@ -21,9 +25,10 @@ matches, added up over a text's matches. The patterns never walk the same stretc
 repeats are possessive, and a match starts at the head of its stretch or where the last
 match ended, which finds what the plain patterns find, leftmost first.
 
-Defined cases: NULL counts as empty text, with no spans; repeated rows share their
-result; equal texts count once in the co-occurrence; spans of different kinds may overlap;
-other columns are ignored.
+Defined cases: NULL counts as empty text, with no spans; very long texts and words are
+read whole; a table without rows gives none; a term exactly at a bound is a span; repeated
+rows share their result; equal texts count once in the co-occurrence; spans of different
+kinds may overlap; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,10 +50,10 @@ NEEDS = ("@", ".", None, "+")
 #: Stands for a place of an email; no character of any text.
 GAP = "\uFFFF"
 REACH = 4
-#: Code points looked at on each side of a mention for words within ``REACH``.
-NEAR = 80
 SPACE = r"[\x20\x09-\x0D]"
 BETWEEN = rf"[\x20\x09-\x0D{GAP}]"
+#: What adjoins a mention, and the words within ``REACH``.
+NEXT = rf"^[^\x20\x09-\x0D]*+(?:{SPACE}[^\x20\x09-\x0D]*+){{0,{REACH}}}"
 
 
 def digits(value: Column) -> Column:
@@ -106,7 +111,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def mentions(texts: DataFrame) -> DataFrame:
     """(d, h, kind, start, end, value, before, behind): base matches that hold.
 
-    ``before`` and ``behind`` are the text next to the match, up to its neighbour.
+    ``before`` and ``behind`` are the words next to the match, up to its neighbour.
     """
     each = texts.select("d", "h", "t", F.explode("found").alias("x"))
     pattern = F.element_at(F.array(*map(F.lit, PATTERNS)), F.col("x.kind") + 1)
@@ -117,8 +122,8 @@ def mentions(texts: DataFrame) -> DataFrame:
             i.alias("i"),
             F.element_at("m", i).alias("value"),
             F.length(F.element_at("b", i)).alias("gap"),
-            F.right(F.element_at("b", i), F.lit(NEAR)).alias("before"),
-            F.left(F.element_at("b", i + 1), F.lit(NEAR)).alias("behind"),
+            F.reverse(F.regexp_extract(F.reverse(F.element_at("b", i)), NEXT, 0)).alias("before"),
+            F.regexp_extract(F.element_at("b", i + 1), NEXT, 0).alias("behind"),
         ),
     )
     single = between.select("d", "h", "kind", F.explode(listed).alias("x")).select("d", "h", "kind", "x.*")
@@ -134,10 +139,10 @@ def mentions(texts: DataFrame) -> DataFrame:
 def nearby_terms(found: DataFrame) -> DataFrame:
     """(d, h, entity, term, start, end): words next to mentions, cut to their letters."""
 
-    def listed(parts: Column, order: Column, edge: Column, sign: int) -> Column:
+    def listed(order: Column, edge: Column, sign: int) -> Column:
         """Words by distance from the mention; ``order`` has the nearest first."""
         return F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(REACH + 1), F.size(order))),
+            F.sequence(F.lit(1), F.size(order)),
             lambda i: F.struct(
                 F.element_at(order, i).alias("w"),
                 (
@@ -146,16 +151,14 @@ def nearby_terms(found: DataFrame) -> DataFrame:
                     * F.aggregate(F.slice(order, 1, i - 1), F.lit(0).cast("long"), lambda acc, x: acc + F.length(x) + 1)
                     - (F.length(F.element_at(order, i)) if sign < 0 else F.lit(0))
                 ).alias("at"),
-                # A word that the cut at NEAR may have shortened is left out.
-                ((i < F.size(order)) | (F.size(parts) == 0)).alias("whole"),
             ),
         )
 
     before, behind = F.split("before", SPACE, -1), F.split("behind", SPACE, -1)
     near = F.concat(
-        listed(before, F.reverse(before), F.col("start"), -1), listed(behind, behind, F.col("end"), 1)
+        listed(F.reverse(before), F.col("start"), -1), listed(behind, F.col("end"), 1)
     )
-    words = found.select("d", "h", entity().alias("entity"), F.explode(near).alias("x")).filter("x.whole")
+    words = found.select("d", "h", entity().alias("entity"), F.explode(near).alias("x"))
     head = F.regexp_extract("x.w", r"^[^\p{L}]*", 0)
     core = F.regexp_extract("x.w", r"^[^\p{L}]*(\p{L}+)[^\p{L}]*$", 1)
     words = words.select(
@@ -190,23 +193,25 @@ def terms_of(texts: DataFrame) -> DataFrame:
     return each.select("h", "term", "start", (F.col("start") + F.col("n")).alias("end"))
 
 
-def telling(threshold: float, n_all: int, share: Column | float = 1.0) -> Column:
-    """Whether a term gives away the threshold's share of an entity, its bits taken times ``share``."""
+def telling(threshold: float, left: float, n_all: int, texts: Column, share: Column | float = 1.0) -> Column:
+    """Whether a term gives away the threshold's share of an entity, its bits taken times ``share``,
+    and leaves no more bits to it than its number of ``texts`` allows."""
     bits = F.log2(F.col("n_both") * n_all / (F.col("n_entity") * F.col("n_term")))
-    return bits * share >= threshold * F.log2(n_all / F.col("n_entity"))
+    lacks = F.log2(F.col("n_term") / F.col("n_both")) <= left * (1 - 1 / texts)
+    return lacks & (bits * share >= threshold * F.log2(n_all / F.col("n_entity")))
 
 
-def disclosing_near(near: DataFrame, n_term: DataFrame, n_all: int, support: int, threshold: float) -> DataFrame:
+def disclosing_near(near: DataFrame, n_term: DataFrame, n_all: int, support: int, threshold: float, left: float) -> DataFrame:
     """(entity, term): terms that by the mentions they stand next to give away an entity."""
     both = near.groupBy("entity", "term").agg(
         F.count_distinct("d", "h").alias("n_both"), F.count_distinct("h").alias("texts")
     )
     both = both.filter(F.col("texts") >= support)
     n_entity = near.groupBy("entity").agg(F.count_distinct("d", "h").alias("n_entity"))
-    return both.join(n_entity, "entity").join(n_term, "term").filter(telling(threshold, n_all)).select("entity", "term")
+    return both.join(n_entity, "entity").join(n_term, "term").filter(telling(threshold, left, n_all, F.col("texts"))).select("entity", "term")
 
 
-def disclosing(entities: DataFrame, own: DataFrame, near: DataFrame, n_all: int, threshold: float) -> DataFrame:
+def disclosing(entities: DataFrame, own: DataFrame, near: DataFrame, n_all: int, threshold: float, left: float) -> DataFrame:
     """(h, term): terms of a text that give away an entity mentioned there.
 
     ``entities`` has the entities of each text with its number of documents, (h, entity, n),
@@ -217,20 +222,23 @@ def disclosing(entities: DataFrame, own: DataFrame, near: DataFrame, n_all: int,
     some = F.col("n_entity") < n_all  # An entity of all documents has no bits.
     # All entities of one text alone co-occur alike with its terms.
     alone = of_entity.filter("n_texts = 1").select("h", "n_entity", F.col("n_entity").alias("n_both")).distinct()
-    single = own.join(alone, "h").filter(some & telling(threshold, n_all)).select("h", "term")
-    several = of_entity.filter("n_texts > 1").select("entity", "n_entity")
+    single = own.join(alone, "h").filter(some & telling(threshold, left, n_all, F.lit(1))).select("h", "term")
+    several = of_entity.filter("n_texts > 1").select("entity", "n_entity", "n_texts")
     pairs = entities.join(several, "entity").join(own, "h")
     both = pairs.groupBy("entity", "term").agg(
-        F.sum("n").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
+        F.sum("n").alias("n_both"),
+        *(F.first(c).alias(c) for c in ("n_entity", "n_texts", "n_term")),
     )
     less = F.least("n_entity", "n_term")
     small = F.col("n_both") / (F.col("n_both") + 1) * less / (less + 1)
-    rated = both.filter(some & telling(threshold, n_all, small)).select("entity", "term").unionByName(near)
+    rated = both.filter(some & telling(threshold, left, n_all, F.col("n_texts"), small)).select("entity", "term").unionByName(near)
     shared = pairs.select("h", "entity", "term").join(rated, ["entity", "term"], "left_semi").select("h", "term")
     return single.unionByName(shared).distinct()
 
 
-def find(docs: DataFrame, support: int = 2, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(
+    docs: DataFrame, support: int = 2, threshold: float = 0.5, left: float = 2.0, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """A row per row of ``docs``: doc_id and ``spans``, sorted (kind, start, end).
 
     Kinds 0 to 3 are the base in the order of ``KINDS``, 4 is ``term``; offsets are code
@@ -248,10 +256,10 @@ def find(docs: DataFrame, support: int = 2, threshold: float = 0.5, doc_id: str
     wanted = terms.select("term").unionByName(near.select("term")).distinct()
     n_term = scratch(n_term.join(wanted, "term", "left_semi"), "pii-counts")
     n_all = docs.count()
-    telling_near = scratch(disclosing_near(near, n_term, n_all, support, threshold), "pii-telling")
+    telling_near = scratch(disclosing_near(near, n_term, n_all, support, threshold, left), "pii-telling")
     entities = base.select("h", entity().alias("entity")).distinct().join(texts.select("h", "n"), "h")
     own = scratch(terms.select("h", "term").distinct().join(n_term, "term"), "pii-own")
-    marked = terms.join(disclosing(entities, own, telling_near, n_all, threshold), ["h", "term"], "left_semi")
+    marked = terms.join(disclosing(entities, own, telling_near, n_all, threshold, left), ["h", "term"], "left_semi")
     holders = base.select("d", "h").distinct()
     spans = (
         base.select("d", "h", "kind", "start", "end")

@@ -265,3 +265,89 @@ def test_terms_that_give_an_entity_away(documents, words):
     assert not any(s for i, s in got.items() if not 100 <= i < 103)
     clean = {r.doc_id: r.text for r in personal.sanitise(documents(rows)).collect()}
     assert "[TERM], [EMAIL] the" in clean[100] and clean[1] == rows[1][1]
+
+
+def brute_terms(rows, threshold=0.5, left=2.0, reach=4, support=2):
+    """(doc_id, start, end) of terms in texts whose parts are words or emails, one blank between."""
+    from collections import defaultdict
+    from math import log2
+
+    n_all, copies, n_term = len(rows), defaultdict(int), defaultdict(int)
+    for _, text in rows:
+        copies[text] += 1
+        for w in set(re.findall(r"[^\W\d_]+", text.lower())):
+            n_term[w] += 1
+    parts = {t: t.split(" ") for t in copies}
+    core = lambda w: re.sub(r"^\W+|\W+$", "", w).lower() if "@" not in w else ""
+    mail = lambda w: BASE[0][1].search(w)[0].lower()
+    having, beside = defaultdict(set), defaultdict(set)
+    for t, ws in parts.items():
+        for i, w in enumerate(ws):
+            if "@" in w:
+                having[mail(w)].add(t)
+                for step in (1, -1):
+                    for j in range(i + step, i + step * (reach + 1), step):
+                        if not 0 <= j < len(ws) or "@" in ws[j]:
+                            break
+                        beside[mail(w)].add((t, j))
+
+    def tells(both, whole, term, texts, share):
+        bits = log2(both * n_all / (whole * n_term[term]))
+        return log2(n_term[term] / both) <= left * (1 - 1 / texts) and bits * share >= threshold * log2(n_all / whole)
+
+    marked = defaultdict(set)
+    for entity, texts in having.items():
+        whole = sum(copies[t] for t in texts)
+        for term in {core(w) for t in texts for w in parts[t]}:
+            if len(term) < 3 or whole == n_all:
+                continue
+            both = sum(copies[t] for t in texts if term in map(core, parts[t]))
+            less = min(whole, n_term[term])
+            share = 1 if len(texts) == 1 else both / (both + 1) * less / (less + 1)
+            if tells(both, whole, term, len(texts), share):
+                for t in texts:
+                    marked[t] |= {i for i, w in enumerate(parts[t]) if core(w) == term}
+        by_term = defaultdict(set)
+        for t, j in beside[entity]:
+            if len(core(parts[t][j])) >= 3:
+                by_term[core(parts[t][j])].add(t)
+        whole = sum(copies[t] for t in set().union(*by_term.values())) if by_term else 0
+        for term, ts in by_term.items():
+            both = sum(copies[t] for t in ts)
+            if len(ts) >= support and (tells(both, whole, term, len(ts), 1)):
+                for t in texts:
+                    marked[t] |= {i for i, w in enumerate(parts[t]) if core(w) == term}
+    out = []
+    for doc_id, t in rows:
+        at = 0
+        for i, w in enumerate(parts[t]):
+            if i in marked[t]:
+                start = at + re.search(r"\w", w).start()
+                out.append((doc_id, start, start + len(core(w))))
+            at += len(w) + 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_terms_equal_brute_force_on_random_texts(documents, seed):
+    draw = random.Random(seed)
+    letters = "abcdefghijklmnopqrst"
+    vocab = ["".join(draw.choice(letters) for _ in range(5)) for _ in range(400)]
+    topics = {f"e{i}@mm.nn": draw.sample(vocab, 2) for i in range(12)}
+    texts = []
+    for _ in range(150):
+        # Frequent words first; some are long, so that a reach is far.
+        ws = [vocab[int(400 * draw.random() ** 3)] for _ in range(25)]
+        ws[draw.randrange(25)] = "w" * draw.choice((5, 90)) + draw.choice(letters) * 3
+        if draw.random() < 0.5:
+            for entity in draw.sample(sorted(topics), 2):
+                at = draw.randrange(25)
+                ws[at:at] = [draw.choice(topics[entity]) + ",", entity.upper() if draw.random() < 0.3 else entity, draw.choice(topics[entity])]
+        texts.append(" ".join(ws))
+    texts += [f"{vocab[-1]} only@one.oo lonely" + " far" * 9 + " (lonely)"] * 2 + draw.sample(texts, 20)
+    rows = list(enumerate(texts))
+    got = []
+    for r in personal.report(documents(rows)).collect():
+        got += [(r.doc_id, *map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("term")]
+    want = brute_terms(rows)
+    assert sorted(got) == want and len(want) > 50
