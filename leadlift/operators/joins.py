@@ -6,29 +6,6 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _width(field: T.StructField) -> str:
-    name = f"`{field.name}`"
-    if isinstance(field.dataType, T.StringType):
-        return f"coalesce(octet_length({name}), 0) + 16"
-    if isinstance(field.dataType, T.AtomicType) and not isinstance(field.dataType, T.BinaryType):
-        return "16"
-    return f"coalesce(octet_length(to_json(struct({name}))), 0) + 16"
-
-
-def fits_broadcast(
-    df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
-) -> bool:
-    """Whether ``df`` is within both bounds; reads at most ``rows + 1`` of its rows."""
-    width = " + ".join(_width(f) for f in df.schema.fields)
-    probe = df.limit(rows + 1).selectExpr("count(1) AS n", f"coalesce(sum({width}), 0) AS b")
-    found = probe.first()
-    return found["n"] <= rows and found["b"] <= size
 
 
 def task_count(df: DataFrame) -> int:
@@ -96,18 +73,11 @@ def dimension_join(
     dim: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Join that leaves the choice to Spark, which knows the sizes once it has shuffled.
 
     Adaptive execution broadcasts a small side and splits the rows of a hot key; no job
-    starts before the query's own. ``max_rows`` asks for a measured choice instead:
-    broadcast up to so many rows, else the salted shuffle join. ``how`` is one of inner,
-    left, left_semi and left_anti.
+    starts before the query's own. ``how`` is one of inner, left, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if max_rows is None:
-        return facts.join(dim, keys, how)
-    if fits_broadcast(dim, min(max_rows, BROADCAST_ROWS)):
-        return facts.join(F.broadcast(dim), keys, how)
-    return salted_join(facts, dim, keys, how)
+    return facts.join(dim, keys, how)

@@ -7,7 +7,6 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from compare import TABLES, normal, types
-from leadlift.operators import joins
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no fixture tables")
@@ -44,10 +43,19 @@ def test_query_matches_sql(spark, db, name):
 
 
 @pytest.mark.parametrize("name", ["labels_by_period", "rollup_level3", "new_conversions"])
-def test_query_matches_sql_without_broadcasts(spark, db, monkeypatch, name):
-    """The same with every measured join forced onto its salted shuffle form."""
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    test_query_matches_sql(spark, db, name)
+def test_query_matches_sql_without_broadcasts(spark, db, name):
+    """The same with every join that Spark may choose forced onto a shuffle."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key in settings:
+        spark.conf.set(key, "-1")
+    try:
+        plan = spark_entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        test_query_matches_sql(spark, db, name)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def test_entry_runs(spark):

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from leadlift.operators.joins import (
     dimension_join,
-    fits_broadcast,
     hot_keys,
     salted_join,
     with_salt,
@@ -26,14 +25,6 @@ def dim(spark):
     )
 
 
-def test_size_check(spark, dim):
-    assert fits_broadcast(dim)
-    assert not fits_broadcast(dim, rows=41)
-    assert not fits_broadcast(dim, size=100)
-    wide = spark.createDataFrame([(["x" * 500],)], "a array<string>")
-    assert not fits_broadcast(wide, size=400)
-
-
 def test_hot_keys_are_found(spark, facts):
     want = spark.sql("SELECT xxhash64(-1L) AS h").first()["h"]
     # A third of the rows, so a third of the tasks.
@@ -47,7 +38,6 @@ def test_salted_and_broadcast_joins_agree(facts, dim, rows, how):
     assert rows(salted_join(facts, dim, ["k"], how)) == plain
     assert rows(salted_join(facts, dim, ["k"], how, share=0.01)) == plain
     assert rows(dimension_join(facts, dim, "k", how)) == plain
-    assert rows(dimension_join(facts, dim, "k", how, max_rows=5)) == plain
 
 
 def test_salting_spreads_the_hot_key_only(spark, facts):
