@@ -49,14 +49,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
+def lines(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """Opportunity lines; ``more`` are columns of the driver's tables to carry along."""
     day = F.to_date("o_orderdate")
     ymd = F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
     joined = table(spark, sf, "lineitem").join(
         table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
+    schema = StructType([*ACTIVITY_LINE.fields, *[joined.schema[c] for c in more]])
     return conform(
         joined.select(
+            *more,
             F.col("o_custkey").cast("string").alias("account_id"),
             F.col("o_orderkey").cast("string").alias("opportunity_id"),
             ymd.alias("status_ymd"),
@@ -67,7 +70,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_returnflag").alias("item_type"),
             day.alias("created_date"),
         ),
-        ACTIVITY_LINE,
+        schema,
     )
 
 

@@ -59,13 +59,15 @@ def line_profile(
     families: tuple[str, ...] = FAMILIES,
     periods: int | None = None,
     serving: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """All periods of all families per (account, product) in one pass over the lines.
 
     Windows of one family may overlap, so each is its own conditional aggregate.
     The only shuffle is on (account, product) after partial aggregation; neither
     a busy account nor a popular product gathers in one task.
-    ``serving`` leaves the quarter counts without a date range.
+    ``serving`` leaves the quarter counts without a date range. A row of ``lines`` stands
+    for as many lines as its column ``weight`` says, as the cells of a line store do.
     """
     statuses = {
         "label": config.won_statuses,
@@ -82,7 +84,10 @@ def line_profile(
             if family not in unbounded:
                 hit += f" AND status_ymd >= {w.lo} AND status_ymd < {w.hi}"
                 spans.append(w)
-            measure = f"min(if({hit}, status_date, NULL))" if family == "first_open" else f"count_if({hit})"
+            if family == "first_open":
+                measure = f"min(if({hit}, status_date, NULL))"
+            else:
+                measure = f"sum(if({hit}, {weight}, 0L))" if weight else f"count_if({hit})"
             aggs.append(F.expr(f"{measure} AS {family}_{w.period}"))
     # A plain range and code list around all windows, for the scan to skip rows by.
     wanted = _in("status", tuple(dict.fromkeys(c for f in families for c in statuses[f])))

@@ -37,8 +37,8 @@ from leadlift.sources.sinks import append, dated_copy, replace_partitions
 from leadlift.sources.versions import drop_old_versions
 
 
-def scoring_lines(inputs: Inputs, config: RunConfig) -> DataFrame:
-    lines = recent_lines(inputs.lines, config.as_of, config.line_months)
+def scoring_lines(lines: DataFrame, config: RunConfig) -> DataFrame:
+    lines = recent_lines(lines, config.as_of, config.line_months)
     if config.reference_apply:
         return lines
     return created_since(lines, config.as_of, config.history_months)
@@ -50,13 +50,15 @@ def scoring_vectors(
     """One vector per eligible account, holding what the models read."""
     behaviour, categories = needed_names(models)
     nodes = tree_nodes(inputs.tree, (config.feature_level,))
+    behaving, weight = inputs.behaviour_lines
     profile = node_profile(
         line_profile(
-            scoring_lines(inputs, config),
+            scoring_lines(behaving, config),
             config,
             tuple(PREFIX),
             periods=1,
             serving=config.reference_apply,
+            weight=weight,
         ),
         nodes,
         inputs.dim.select("account_id"),
@@ -142,7 +144,7 @@ def _score(
     )
 
     products = raw.select("product_code").distinct()
-    target = inputs.target_lines(scoring_lines(inputs, config), config)
+    target = inputs.target_lines(scoring_lines(inputs.lines, config), config)
     known = inputs.dim.select("account_id")
     opens = first_open_by_node(target, tree_nodes(inputs.tree), known, config)
     seen = existing_scores(previous, products, config.mode)

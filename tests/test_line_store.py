@@ -1,0 +1,106 @@
+"""A store of line counts against the lines themselves, after any order of changes."""
+
+import random
+from dataclasses import replace
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from leadlift.config import RunConfig
+from leadlift.operators.activity import FAMILIES, created_since, line_profile, recent_lines
+from leadlift.sources import line_store, versions
+from leadlift.sources.line_store import apply_changes, compact, stored_cells
+
+CFG = RunConfig(as_of=date(2024, 8, 15), periods=3)
+CHANGE = (
+    "line_key string, change_no long, deleted boolean, account_id string, product_id string, status string, "
+    "status_ymd int, status_date date, created_ts14 long, account_text string"
+)
+
+
+def a_change(draw, key, number):
+    day = date(2023, 1, 1) + timedelta(days=draw.randrange(600))
+    ymd = day.year * 10000 + day.month * 100 + day.day
+    # Also creation times at the very start of a quarter, and none.
+    created = draw.choice([None, 20230401000000, 20240101000000, 20240101000001, ymd * 1_000_000])
+    account = draw.choice(["hot", "hot", "hot", "a", "b", None])
+    status = draw.choice([*CFG.open_statuses, *CFG.won_statuses, "other", None])
+    return (key, number, draw.random() < 0.15, account, draw.choice("123"), status, ymd, day, created, "more")
+
+
+def profiles(lines, weight=None, config=CFG):
+    for serving in (False, True):
+        kept = recent_lines(lines, config.as_of, 15)
+        yield line_profile(created_since(kept, config.as_of, 9), config, FAMILIES, serving=serving, weight=weight)
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "store")
+
+
+def test_profiles_follow_changes(spark, rows, path):
+    draw, now = random.Random(5), {}
+    for step in range(4):
+        batch = [a_change(draw, f"k{draw.randrange(150)}", 1000 * step + i) for i in range(200)]
+        # The batch before again, out of order, which changes nothing.
+        again = batch_before if step else []
+        apply_changes(spark, path, spark.createDataFrame(draw.sample(batch + again, len(batch + again)), CHANGE))
+        for change in batch:
+            now[change[0]] = change
+        batch_before = batch
+        if step == 1:
+            compact(spark, path)
+        live = spark.createDataFrame([c for c in now.values() if not c[2]], CHANGE)
+        for got, want in zip(profiles(stored_cells(spark, path), "n"), profiles(live)):
+            assert got.columns == want.columns and rows(got) == rows(want)
+    rolling = replace(CFG, year_window="rolling12", as_of=date(2024, 11, 20))
+    for got, want in zip(profiles(stored_cells(spark, path), "n", rolling), profiles(live, None, rolling)):
+        assert rows(got) == rows(want)
+
+
+def test_empty_increments_deletions_and_late_changes(spark, rows, path):
+    draw = random.Random(1)
+    assert stored_cells(spark, path).count() == 0
+    apply_changes(spark, path, spark.createDataFrame([], CHANGE))
+    assert stored_cells(spark, path).count() == 0
+    line = a_change(draw, "k", 5)
+    live, gone = line[:2] + (False,) + line[3:], ("k", 6, True) + line[3:]
+    apply_changes(spark, path, spark.createDataFrame([live], CHANGE))
+    assert [r["n"] for r in stored_cells(spark, path).collect()] == [1]
+    apply_changes(spark, path, spark.createDataFrame([gone], CHANGE))
+    compact(spark, path)
+    # The line's number is below the deletion's, also after segments were merged.
+    apply_changes(spark, path, spark.createDataFrame([live], CHANGE))
+    assert stored_cells(spark, path).count() == 0
+    # A NULL flag is a line that stays; a key that was never seen can be deleted.
+    apply_changes(spark, path, spark.createDataFrame([("k", 7, None, *line[3:]), ("x", 1, True, *line[3:])], CHANGE))
+    assert [r["n"] for r in stored_cells(spark, path).collect()] == [1]
+
+
+def test_a_key_is_needed(spark, path):
+    with pytest.raises(Exception, match="without a line key"):
+        apply_changes(spark, path, spark.createDataFrame([a_change(random.Random(2), None, 1)], CHANGE))
+
+
+def test_an_increment_is_seen_whole_or_not_at_all(spark, path, monkeypatch):
+    draw = random.Random(3)
+    first = [a_change(draw, f"k{i}", i)[:2] + (False,) + a_change(draw, "", 0)[3:] for i in range(20)]
+    apply_changes(spark, path, spark.createDataFrame(first, CHANGE))
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    more = spark.createDataFrame([("n", 1, False, *first[0][3:])], CHANGE)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "publish", dies)
+        with pytest.raises(KeyboardInterrupt):
+            apply_changes(spark, path, more)
+    assert stored_cells(spark, path).agg(F.sum("n")).first()[0] == 20
+    # A writer that read the store before another published must not publish on top.
+    number, _ = line_store._state(path, spark)
+    apply_changes(spark, path, more)
+    with pytest.raises(RuntimeError, match="was published since"):
+        versions.replace(more.withColumn("segment", F.lit("x")), path, "segment", after=number)
+    assert stored_cells(spark, path).agg(F.sum("n")).first()[0] == 21
