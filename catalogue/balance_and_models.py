@@ -16,7 +16,7 @@ from leadlift.operators.accounts import eligible_accounts
 from leadlift.operators.neighbours import nearest_neighbours as knn
 from leadlift.operators.scoring import registered_models
 from leadlift.operators.scoring import score_products as apply_models
-from leadlift.plans.score import run_score, scoring_vectors
+from leadlift.plans.score import run_score, scoring_behaviour, scoring_vectors
 from leadlift.plans.train import run_train
 from leadlift.sources.readers import read_table
 from leadlift.sources.schemas import MODEL_METRICS, MODEL_REGISTRY, SCORE
@@ -234,7 +234,8 @@ def score_products(spark: SparkSession, sf: str) -> DataFrame:
     models = registered_models(registry, MODEL_CONFIG.model_type).collect()
     inputs = src.inputs(spark, sf)
     accounts = eligible_accounts(inputs.master, inputs.roles, inputs.dim)
-    vectors, names = scoring_vectors(inputs, accounts, models, MODEL_CONFIG)
+    behaviour = scoring_behaviour(inputs, MODEL_CONFIG)
+    vectors, names = scoring_vectors(accounts, behaviour, models)
     return apply_models(vectors, names, models, MODEL_CONFIG.as_of)
 
 

@@ -20,9 +20,11 @@ from leadlift.operators.conversion import (
 from leadlift.operators.features import PREFIX, feature_rows
 from leadlift.operators.hierarchy import tree_nodes
 from leadlift.operators.ranking import damp_scores, logical_flag, rank_scores, sweet_spot
+from leadlift.operators.refresh import account_keys, kept_scores, state_rows
 from leadlift.operators.scoring import needed_names, registered_models, score_products
 from leadlift.operators.vectors import all_names, vector_table
-from leadlift.plans.inputs import Inputs
+from leadlift.plans.inputs import CODE_COLUMNS, Inputs
+from leadlift.sources import versions
 from leadlift.sources.readers import conversion_history, existing_scores, read_table
 from leadlift.sources.schemas import (
     CONVERSION,
@@ -30,6 +32,7 @@ from leadlift.sources.schemas import (
     MODEL_REGISTRY,
     SCORE,
     SCORE_CONSULTING,
+    SCORE_STATE,
     conform,
 )
 from leadlift.sources.scratch import materialise, run_scratch
@@ -44,11 +47,8 @@ def scoring_lines(lines: DataFrame, config: RunConfig) -> DataFrame:
     return created_since(lines, config.as_of, config.history_months)
 
 
-def scoring_vectors(
-    inputs: Inputs, accounts: DataFrame, models: list, config: RunConfig
-) -> tuple[DataFrame, list[str]]:
-    """One vector per eligible account, holding what the models read."""
-    behaviour, categories = needed_names(models)
+def scoring_behaviour(inputs: Inputs, config: RunConfig) -> DataFrame:
+    """Behaviour entries of all known accounts as of the run's day."""
     nodes = tree_nodes(inputs.tree, (config.feature_level,))
     behaving, weight = inputs.behaviour_lines
     profile = node_profile(
@@ -63,11 +63,53 @@ def scoring_vectors(
         nodes,
         inputs.dim.select("account_id"),
     )
+    return feature_rows(profile, config)
+
+
+def scoring_vectors(
+    accounts: DataFrame, behaviour: DataFrame, models: list
+) -> tuple[DataFrame, list[str]]:
+    """One vector per account, holding what the models read."""
+    names, categories = needed_names(models)
     base = accounts.select(
-        "account_id", "master_code", "internal_segment", F.lit(1).alias("period")
+        "account_id", *CODE_COLUMNS, F.lit(1).alias("period")
+    )
+    return vector_table(base, behaviour, names, categories), all_names(names, categories)
+
+
+def raw_scores(
+    spark: SparkSession,
+    inputs: Inputs,
+    accounts: DataFrame,
+    models: list,
+    config: RunConfig,
+    state_path: str | None,
+) -> DataFrame:
+    """Every account with every model; with a state, only accounts that changed are scored anew."""
+
+    def scored(of: DataFrame, behaviour: DataFrame) -> DataFrame:
+        vectors, names = scoring_vectors(of, behaviour, models)
+        return score_products(vectors, names, models, config.as_of, config.nodes_per_pass)
+
+    behaviour = scoring_behaviour(inputs, config)
+    if state_path is None:
+        # Written before ranking: the range sort would run the models a second time.
+        return materialise(scored(accounts, behaviour), "scores")
+    behaviour = materialise(behaviour, "behaviour")
+    keys = materialise(account_keys(accounts, behaviour, CODE_COLUMNS), "keys")
+    state = versions.read(spark, state_path, SCORE_STATE)
+    state = spark.createDataFrame([], SCORE_STATE) if state is None else state
+    wanted = spark.createDataFrame([(m["product_code"], m["path"]) for m in models], "product_code string, path string")
+    kept = materialise(kept_scores(state, wanted, len(models), keys), "kept")
+    changed = materialise(accounts.join(kept.select("account_id"), "account_id", "left_anti"), "changed")
+    day = F.lit(str(ymd(config.as_of))).alias("score_date")
+    raw = scored(changed, behaviour).unionByName(kept.select("*", day))
+    raw = materialise(raw, "scores")
+    replace_partitions(
+        materialise(state_rows(raw, wanted, keys), "state"), state_path, values=[m["product_code"] for m in models]
     )
-    vectors = vector_table(base, feature_rows(profile, config), behaviour, categories)
-    return vectors, all_names(behaviour, categories)
+    drop_old_versions(spark, state_path)
+    return raw
 
 
 def staged_scores(
@@ -95,16 +137,19 @@ def run_score(
     scores_path: str,
     history_path: str,
     copies_path: str,
+    state_path: str | None = None,
 ) -> None:
     """Score, record conversions, then replace the scored products.
 
     ``mode="first"`` scores every registered model and sees no earlier scores;
     ``"refresh"`` takes the ``refresh_products`` products whose scores are oldest.
+    With ``state_path`` a run keeps raw scores there, and scores only the accounts that
+    changed since; the result is the same.
     """
     if config.mode != "first" and config.refresh_products is None:
         raise ValueError("a refresh needs refresh_products")
     with run_scratch(spark):
-        _score(spark, inputs, config, registry_path, scores_path, history_path, copies_path)
+        _score(spark, inputs, config, registry_path, scores_path, history_path, copies_path, state_path)
 
 
 def _score(
@@ -115,6 +160,7 @@ def _score(
     scores_path: str,
     history_path: str,
     copies_path: str,
+    state_path: str | None,
 ) -> None:
     consulting = config.model_type == "consulting"
     score_schema = SCORE_CONSULTING if consulting else SCORE
@@ -137,11 +183,7 @@ def _score(
     accounts = materialise(
         eligible_accounts(inputs.master, inputs.roles, None if consulting else inputs.dim), "accounts"
     )
-    vectors, names = scoring_vectors(inputs, accounts, models, config)
-    # Written before ranking: the range sort would run the models a second time.
-    raw = materialise(
-        score_products(vectors, names, models, config.as_of, config.nodes_per_pass), "scores"
-    )
+    raw = raw_scores(spark, inputs, accounts, models, config, state_path)
 
     products = raw.select("product_code").distinct()
     target = inputs.target_lines(scoring_lines(inputs.lines, config), config)

@@ -73,6 +73,8 @@ CONVERSION = SCORE
 CONVERSION_CONSULTING = SCORE_CONSULTING
 HISTORY = _schema(account_id=_S, product_code=_S, conversion_date=_S)
 
+SCORE_STATE = _schema(account_id=_S, product_code=_S, path=_S, state_key=_S, score=_D)
+
 ROLLUP = _schema(
     scenario=_S,
     account_id=_S,
