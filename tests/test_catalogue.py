@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from catalogue import inputs
 from compare import TABLES, normal, types
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +67,23 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+
+
+def test_shuffles_get_tasks_by_the_number_of_lines(spark, monkeypatch):
+    """With a fixed number a task's share, and its memory, would grow with the table."""
+    before, size = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get(inputs._JOINED_SIZE)
+    sf = "/root/testdata/sf0.001"
+    n = inputs.table(spark, sf, "lineitem").count()
+    try:
+        inputs.lines(spark, sf)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        monkeypatch.setattr(inputs, "LINES_PER_TASK", 500)
+        inputs.lines(spark, sf)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == -(-n // 500) > int(before)
+        assert spark.conf.get(inputs._JOINED_SIZE) == "8MB"
+        monkeypatch.undo()
+        inputs.lines(spark, sf)  # a smaller table takes nothing from a larger one's queries
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == -(-n // 500)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(inputs._JOINED_SIZE, size)
