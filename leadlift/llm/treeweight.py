@@ -34,11 +34,13 @@ from leadlift.llm.common import fields, query, remainder_column, scratch, slices
 
 DEPTH, TAIL = 5, 3
 WORDS, KEYS = 250_000, 400_000
+#: Bytes of rows that a task works on at once; its arrays take some hundred times that.
+SLICE = 1 << 20
 END, BLANK = b"\n", 0x20
 HALF = float(np.log(0.5))
 
 
-def count_words(docs: DataFrame, learn: Column, text: str, most: int = 400_000) -> DataFrame:
+def count_words(docs: DataFrame, learn: Column, text: str, most: int = 200_000) -> DataFrame:
     """(word, key, c): occurrences in learning rows of each word, or else of each start.
 
     Words and starts of other rows only have 0.
@@ -47,6 +49,7 @@ def count_words(docs: DataFrame, learn: Column, text: str, most: int = 400_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def words_so_far() -> pa.RecordBatch:
             n = len(counts)
@@ -54,7 +57,12 @@ def count_words(docs: DataFrame, learn: Column, text: str, most: int = 400_000)
             counts.clear()
             return pa.RecordBatch.from_arrays(got, names=out.names)
 
-        for batch in slices(batches, 1 << 22):
+        def starts_so_far() -> pa.RecordBatch:
+            distinct, c = summed(*map(np.concatenate, zip(*held)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.nulls(len(distinct), pa.binary()), pa.array(distinct), pa.array(c)], names=out.names)
+
+        for batch in slices(batches, SLICE):
             texts, learnt = [words(v) for v in batch.column(0).to_pylist()], batch.column(1).to_pylist()
             for parts, known in zip(texts, learnt):
                 if known:
@@ -67,15 +75,23 @@ def count_words(docs: DataFrame, learn: Column, text: str, most: int = 400_000)
             if len(counts) > most:
                 yield words_so_far()
             keys, owner = starts(texts)
-            distinct, at = np.unique(keys, return_inverse=True)
-            c = np.bincount(at, weights=np.array(learnt, dtype=float)[owner], minlength=len(distinct)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(distinct), pa.binary()), pa.array(distinct), pa.array(c)], names=out.names)
+            held.append(summed(keys, np.array(learnt, dtype=bool)[owner]))
+            if sum(len(k) for k, _ in held) > most:
+                yield starts_so_far()
         yield words_so_far()
+        if held:
+            yield starts_so_far()
 
     parts = docs.select(F.col(text), learn.alias("learn")).mapInArrow(run, out)
     return parts.groupBy("word", "key").agg(F.sum("c").alias("c"))
 
 
+def summed(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and of each the sum of its counts."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(at, weights=c, minlength=len(distinct)).astype(np.int64)
+
+
 def starts(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """(context << 8 | symbol) of the first two symbols of all words and of the end signs.
 
@@ -116,7 +132,7 @@ def positions(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return context << 8 | flat[later], owner
 
 
-def count_contexts(vocabulary: DataFrame, most: int = 2_000_000) -> DataFrame:
+def count_contexts(vocabulary: DataFrame, most: int = 500_000) -> DataFrame:
     """(key, c, uses): deepest context and symbol inside words, its count, and in how many words."""
     out = fields(key="long", c="long", uses="long")
 
@@ -131,14 +147,13 @@ def count_contexts(vocabulary: DataFrame, most: int = 2_000_000) -> DataFrame:
             keys, counts, held = [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(c), pa.array(uses)], names=out.names)
 
-        for batch in batches:
-            if batch.num_rows:
-                key, owner = positions(batch.column(0).to_pylist())
-                keys.append(key)
-                counts.append(batch.column(1).to_numpy()[owner])
-                held += len(key)
-                if held > most:
-                    yield flush()
+        for batch in slices(batches, SLICE):
+            key, owner = positions(batch.column(0).to_pylist())
+            keys.append(key)
+            counts.append(batch.column(1).to_numpy()[owner])
+            held += len(key)
+            if held > most:
+                yield flush()
         if held:
             yield flush()
 
@@ -190,9 +205,7 @@ def leaf_sums(leaves: DataFrame) -> DataFrame:
     out = fields(node="long", a="double", b="double", below="double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, SLICE):
             entries, row = lists(batch.column(1))
             context = batch.column(0).to_numpy()
             node, bit = decisions(row, entries.field("symbol").to_numpy())
@@ -245,7 +258,7 @@ def symbol_scores(contexts: DataFrame) -> DataFrame:
     out = fields(key="long", c="long", uses="long", lp="double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 22):
+        for batch in slices(batches, SLICE):
             entries, row = lists(batch.column(1))
             symbol, c = entries.field("symbol").to_numpy(), entries.field("c").to_numpy()
             node, bit = decisions(row, symbol)
@@ -303,10 +316,8 @@ def word_scores(vocabulary: DataFrame, scored: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         next_id = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             n = batch.num_rows
-            if not n:
-                continue
             key, owner = positions(batch.column(0).to_pylist())
             part, far = look_up(*shared.value, key, owner, n)
             ids = np.arange(next_id, next_id + n)
@@ -362,7 +373,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
         head_words, lp, base_of = shared.value
         at_of = {w: i for i, w in enumerate(head_words.to_pylist())}
         next_id = TaskContext.get().partitionId() << 36
-        for batch in slices(batches, 1 << 22):
+        for batch in slices(batches, SLICE):
             texts = [words(v) for v in batch.column(2).to_pylist()]
             n = len(texts)
             key, owner = starts(texts)

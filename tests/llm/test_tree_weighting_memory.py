@@ -1,0 +1,61 @@
+"""Tasks of the context trees work on slices, so their memory does not follow a batch's size."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
+from leadlift.llm import treeweight
+
+
+class Here:
+    """One Arrow batch in place of a table: what a task returns, and its peak of memory."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch = batch
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        tracemalloc.start()
+        rows, peaks = [], []
+        for part in run(iter([self.batch])):
+            rows.append(part)
+            peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        self.peak, self.got = max(peaks), pa.Table.from_batches(rows).to_pandas()
+        return self
+
+    def groupBy(self, *columns):
+        return self
+
+    def agg(self, *columns):
+        return self
+
+
+def test_leaf_sums_of_a_large_batch(spark):
+    # 10,000 contexts, 40 symbols each: 9 MB of rows, 3.2 million decisions.
+    contexts, symbols = np.arange(10_000) * 256, np.arange(10_000 * 40) % 40 + 97
+    entry = pa.StructArray.from_arrays([pa.array(symbols), pa.array(np.ones(len(symbols), np.int64)), pa.array(np.ones(len(symbols), np.int64))], ["symbol", "c", "uses"])
+    entries = pa.ListArray.from_arrays(pa.array(np.arange(10_001) * 40, pa.int32()), entry)
+    task = treeweight.leaf_sums(Here(pa.RecordBatch.from_arrays([pa.array(contexts), entries], names=["context", "entries"])))
+    assert task.peak < 100e6
+    root = task.got[task.got["node"] % 256 == 1]
+    assert (root["a"] + root["b"]).sum() == len(symbols)
+
+
+def test_counts_of_a_large_batch(spark):
+    n = 60_000
+    words = [f"w{i % 5000} zz{i}x" * 5 for i in range(n)]
+    texts = pa.array([" ".join(words[i : i + 30]) for i in range(0, n, 30)], pa.string())
+    learnt = pa.array([i % 3 > 0 for i in range(len(texts))], pa.bool_())
+    task = treeweight.count_words(Here(pa.RecordBatch.from_arrays([texts, learnt], names=["text", "learn"])), treeweight.F.lit(True), "text")
+    assert task.peak < 150e6
+    sums = task.got[task.got["word"].notna()].groupby("word")["c"].sum()
+    said = [w for t, known in zip(texts.to_pylist(), learnt.to_pylist()) if known for w in t.split()]
+    assert sums.sum() == len(said) + sum(learnt.to_pylist())
+    keys, owner = treeweight.starts([t.encode().split() for t in texts.to_pylist()])
+    of = np.bincount(np.unique(keys, return_inverse=True)[1], weights=np.array(learnt.to_pylist(), dtype=float)[owner])
+    got = task.got[task.got["key"].notna()].groupby("key")["c"].sum()
+    assert got.index.tolist() == np.unique(keys).tolist() and got.tolist() == of.tolist()
