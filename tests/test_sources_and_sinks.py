@@ -169,3 +169,23 @@ def test_scratch_needs_a_shared_folder(spark):
     with pytest.raises(RuntimeError):
         scratch.scratch_root(Session())
     assert scratch.scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_tasks_stay_small_however_many_the_session_has(spark, tmp_path):
+    from catalogue import inputs as src
+
+    spark.range(src.LINES_PER_TASK + 1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    names = ["spark.sql.shuffle.partitions", *src.TASK_BYTES]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in src.TASK_BYTES:
+            spark.conf.unset(n)
+        spark.conf.set(names[0], "200")
+        src.deal_by_size(spark, str(tmp_path))
+        assert [spark.conf.get(n) for n in names] == ["200", "8MB", "8MB"]
+        spark.conf.set(names[1], "3MB")  # the session's own
+        src.deal_by_size(spark, str(tmp_path))
+        assert spark.conf.get(names[1]) == "3MB"
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
