@@ -104,3 +104,56 @@ def test_an_increment_is_seen_whole_or_not_at_all(spark, path, monkeypatch):
     with pytest.raises(RuntimeError, match="was published since"):
         versions.replace(more.withColumn("segment", F.lit("x")), path, "segment", after=number)
     assert stored_cells(spark, path).agg(F.sum("n")).first()[0] == 21
+
+
+def test_one_shuffle_of_the_changes_serves_the_lookup_and_the_join(spark, path, monkeypatch):
+    draw, plans = random.Random(7), []
+    apply_changes(spark, path, spark.createDataFrame([a_change(draw, f"k{i}", i) for i in range(40)], CHANGE))
+    written = line_store.materialise
+
+    def seen(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(line_store, "materialise", seen)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        more = spark.createDataFrame([a_change(draw, f"k{i}", 100 + i) for i in range(60)], CHANGE)
+        more.write.parquet(f"{path}-more")
+        apply_changes(spark, path, spark.read.schema(CHANGE).parquet(f"{path}-more"))
+    finally:
+        spark.conf.set(threshold, before)
+    assert "ReusedExchange" in plans[0].split("Initial Plan")[0]
+
+
+def test_increments_read_the_joined_lines_once(spark, rows, tmp_path, monkeypatch):
+    from catalogue import increments
+
+    sf, monkey_root = str(tmp_path / "sf"), str(tmp_path / "scratch")
+    day = "timestamp'{}-03-05'"
+    orders = [(1, 1, "F", "1998"), (2, 1, "O", "1998"), (3, 2, "P", "2000"), (4, 2, "O", "2000"), (5, 3, None, "1998")]
+    parts = ", ".join(f"({k}L, {c}L, {repr(s) if s else 'NULL'}, {day.format(y)})" for k, c, s, y in orders)
+    spark.sql(f"SELECT * FROM VALUES {parts} AS t(o_orderkey, o_custkey, o_orderstatus, o_orderdate)").write.parquet(f"{sf}/orders.parquet")
+    # Order 1 has two lines of one number; a flag may be missing.
+    items = [(1, 1, "R"), (1, 1, "N"), (2, 1, "R"), (3, 1, "N"), (3, 2, "R"), (4, 1, None), (4, 2, "N"), (5, 1, "N")]
+    parts = ", ".join(
+        f"({o}L, {i + 10}L, 7L, {n}, {100 + i}.5D, {repr(f) if f else 'CAST(NULL AS STRING)'}, {day.format('2001')})"
+        for i, (o, n, f) in enumerate(items)
+    )
+    names = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_returnflag, l_shipdate"
+    spark.sql(f"SELECT * FROM VALUES {parts} AS t({names})").write.parquet(f"{sf}/lineitem.parquet")
+    monkeypatch.setattr("leadlift.sources.scratch.scratch_root", lambda _: monkey_root)
+    loaded, first, second = increments.line_changes(spark, sf)
+    for changes in (loaded, first, second):
+        assert "Join" not in changes._jdf.queryExecution().optimizedPlan().toString()
+    got = [rows(c.select(F.split("line_key", "-")[2].cast("int").alias("part"), "change_no", "deleted", "status")) for c in (loaded, first, second)]
+    want_load = [(10, 1, False, "O"), (11, 1, False, "O"), (12, 1, False, "O"), (17, 1, False, "O")]
+    closed = [(10, 2, False, "F"), (11, 2, False, "F")]
+    arrived = [(p, 2, False, "O") for p in (13, 14, 15, 16)]
+    gone = [(10, 3, True, "F"), (12, 3, True, "O"), (14, 3, True, "P")]
+    others = [(13, 3, False, "P")]
+    for found, want in zip(got, (want_load, closed + arrived + want_load, others + gone + closed)):
+        assert found == sorted(want, key=lambda t: tuple(map(repr, t)))
