@@ -180,3 +180,20 @@ def test_fit_rows_are_bounded_and_keep_the_rare_class(spark):
     assert 1700 < sum(got.values()) < 2300 and got[1] > 250
     again = fit_sample(rows.repartition(7), {0: 19600, 1: 400}, config)
     assert again.groupBy("label").count().orderBy("label").collect() == fit_sample(rows, {0: 19600, 1: 400}, config).groupBy("label").count().orderBy("label").collect()
+
+
+def test_entries_are_not_shuffled_to_find_their_index(spark, monkeypatch):
+    from leadlift.operators import vectors
+
+    plans, written = [], vectors.materialise
+
+    def seen(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, *more)
+
+    monkeypatch.setattr(vectors, "materialise", seen)
+    base = spark.createDataFrame([("a", 1, "x")], "account_id string, period int, code string")
+    entries = spark.createDataFrame([("a", "f1", 1, 2), ("a", "f0", 1, 3)], "account_id string, feature string, period int, value long")
+    table = vector_table(base, entries, ["f0", "f1"], {"code": ["x"]})
+    assert "hashpartitioning(feature" not in plans[0]
+    assert table.first()["features"].toArray().tolist() == [3.0, 2.0, 1.0]
