@@ -197,3 +197,27 @@ def test_entries_are_not_shuffled_to_find_their_index(spark, monkeypatch):
     table = vector_table(base, entries, ["f0", "f1"], {"code": ["x"]})
     assert "hashpartitioning(feature" not in plans[0]
     assert table.first()["features"].toArray().tolist() == [3.0, 2.0, 1.0]
+
+
+def test_entries_that_come_by_account_are_shuffled_once(spark, monkeypatch):
+    from leadlift.operators import vectors
+
+    plans, real = [], vectors.materialise
+
+    def seen(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *more)
+
+    monkeypatch.setattr(vectors, "materialise", seen)
+    base = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "x"), ("a", 2, "x"), ("b", 1, None), (None, 1, "x")], "account_id string, period int, code string"
+    )
+    entries = spark.createDataFrame(
+        [("a", "f1", 1, 2), ("a", "f0", 1, 3), ("a", "f1", 2, 5), ("b", "f0", 2, 9), (None, "f0", 1, 8)],
+        "account_id string, feature string, period int, value long",
+    )
+    table = vector_table(base, entries.repartition("account_id"), ["f0", "f1"], {"code": ["x"]})
+    assert plans[0].count("Exchange hashpartitioning(account_id") == 2  # entries and base
+    assert not [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line and "period" in line]
+    got = sorted((r["account_id"] or "", r["period"], r["features"].toArray().tolist()) for r in table.collect())
+    assert got == [("", 1, [0, 0, 1]), ("a", 1, [3, 2, 1]), ("a", 2, [0, 5, 1]), ("a", 2, [0, 5, 1]), ("b", 1, [0, 0, 0])]

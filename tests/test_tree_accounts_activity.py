@@ -232,3 +232,25 @@ def test_wide_and_align(spark, rows):
     block = wide(df, ["account_id"], ["x", "y"])
     assert rows(block, "account_id", "x", "y") == [("1", 5, 2), ("2", 1, None)]
     assert rows(align(block, ["y", "new"], ["account_id"])) == [("1", 2.0, 0.0), ("2", 0.0, 0.0)]
+
+
+def test_the_roll_up_shuffles_by_account_once(spark, rows):
+    profile = spark.createDataFrame(
+        [("1", "p", 2, date(2024, 1, 2)), ("1", "q", 3, date(2024, 1, 1)), ("9", "p", 5, None), (None, "p", 1, None)],
+        "account_id string, product_id string, open_year_1 long, first_open_1 date",
+    )
+    nodes = spark.createDataFrame(
+        [("p", "N", "t", "LEVEL2"), ("q", "N", "t", "LEVEL2"), ("q", " ", "t", "LEVEL3")],
+        "product_id string, node_code string, node_text string, level string",
+    )
+    known = spark.createDataFrame([("1",), ("1",), ("2",), (None,)], "account_id string")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = node_profile(profile, nodes, known)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == [("1", "LEVEL2", "N", 5, date(2024, 1, 1))]
+        # The roll-up's and that of the accounts; the others are by product.
+        assert plan.count("Exchange hashpartitioning(account_id") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
