@@ -170,5 +170,9 @@ def branch_features(branch: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
 
 
 def attach_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Rows with their feature vector; the vector does not depend on the product."""
-    return rows.join(vectors, ["account_id", "period"], "inner")
+    """Rows with their feature vector; the vector does not depend on the product.
+
+    Both sides have a row per account and period. Spark would guess the rows' size from the accounts'
+    file, before periods are unfolded, and pass them whole through the driver.
+    """
+    return rows.join(vectors.hint("merge"), ["account_id", "period"], "inner")

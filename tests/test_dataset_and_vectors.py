@@ -221,3 +221,15 @@ def test_entries_that_come_by_account_are_shuffled_once(spark, monkeypatch):
     assert not [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line and "period" in line]
     got = sorted((r["account_id"] or "", r["period"], r["features"].toArray().tolist()) for r in table.collect())
     assert got == [("", 1, [0, 0, 1]), ("a", 1, [3, 2, 1]), ("a", 2, [0, 5, 1]), ("a", 2, [0, 5, 1]), ("b", 1, [0, 0, 0])]
+
+
+def test_rows_with_vectors_are_not_broadcast(spark, accounts, labels, rows):
+    base = accounts.select("account_id", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("period"))
+    vectors = base.select("*", (F.col("account_id").cast("int") * 10 + F.col("period")).alias("features"))
+    got = dataset.training_rows(accounts, labels, PRODUCTS, CFG, vectors)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin [account_id") >= 2  # negatives and buyers
+    want = dataset.training_rows(accounts, labels, PRODUCTS, CFG).withColumn(
+        "features", F.col("account_id").cast("int") * 10 + F.col("period")
+    )
+    assert rows(got) == rows(want)
