@@ -233,3 +233,35 @@ def test_rows_with_vectors_are_not_broadcast(spark, accounts, labels, rows):
         "features", F.col("account_id").cast("int") * 10 + F.col("period")
     )
     assert rows(got) == rows(want)
+
+
+def test_hashes_below_a_limit_are_the_draws_below_its_share(spark):
+    from leadlift.functions.hashing import hash_below, hash_limit, hash_uniform
+
+    keys = spark.range(3000).select(F.col("id").cast("string").alias("account_id"), F.when(F.col("id") % 7 > 0, F.col("id") % 8).alias("period"))
+    drawn = keys.withColumn("u", hash_uniform("account_id", "period", F.lit("p|q"), seed=3))
+    shares = [None, 0.0, -1.0, 1e-12, 0.15, 0.5, 1 - 2.0**-33, 1.0, 1.5] + [r["u"] for r in drawn.orderBy("u").limit(3).collect()]
+    asked = drawn.crossJoin(spark.createDataFrame([(s,) for s in shares], "share double")).withColumn("limit", hash_limit(F.col("share")))
+    head = F.concat_ws("|", "account_id", F.col("period").cast("string"))
+    got = F.coalesce(hash_below(F.col("limit"), head, F.lit("p|q"), seed=3), F.lit(False))
+    assert asked.filter(got != F.coalesce(F.col("u") < F.col("share"), F.lit(False))).isEmpty()
+    assert asked.filter(got).count() > 3000
+
+
+def test_what_is_asked_of_a_vector_is_computed_before_rows_unfold(spark):
+    """Rows carry what stands next to a vector's keys; a spine row that no product can keep meets no vector."""
+    accounts = spark.createDataFrame(
+        [("a", "E0004", "C"), ("b", None, "C"), ("c", "E0004", "T")], "account_id string, activity_status string, target_class string"
+    )
+    labels = spark.createDataFrame([("b", "LEVEL6", "p1", 1, 1)], "account_id string, level string, node_code string, period int, label int")
+    summary = spark.range(3).select(F.element_at(F.array(*[F.lit(c) for c in "abc"]), (F.col("id") + 1).cast("int")).alias("account_id"), F.explode(F.sequence(F.lit(1), F.lit(CFG.periods))).alias("period"))
+    summary = summary.withColumn("total", F.sqrt(F.col("period").cast("double")))
+    products = [(f"p{i}", "LEVEL6") for i in range(60)]
+    got = dataset.training_rows(accounts, labels, products, CFG, summary)
+    assert got.columns == ["level", "product_code", "account_id", "period", "label", "total"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("SQRT")
+    assert "conv(" not in plan
+    plain = dataset.training_rows(accounts, labels, products, CFG).withColumn("total", F.sqrt(F.col("period").cast("double")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.select(got.columns).collect()))
+    assert {r["account_id"] for r in got.filter("label = 1").collect()} == {"b"}
