@@ -157,3 +157,24 @@ def test_increments_read_the_joined_lines_once(spark, rows, tmp_path, monkeypatc
     others = [(13, 3, False, "P")]
     for found, want in zip(got, (want_load, closed + arrived + want_load, others + gone + closed)):
         assert found == sorted(want, key=lambda t: tuple(map(repr, t)))
+
+
+def test_a_merge_shuffles_no_cells_and_packs_them_closely(spark, rows, path, monkeypatch):
+    draw, seen = random.Random(9), []
+    for step in range(2):
+        batch = [a_change(draw, f"k{draw.randrange(60)}", 100 * step + i) for i in range(80)]
+        apply_changes(spark, path, spark.createDataFrame(batch, CHANGE))
+    before = rows(stored_cells(spark, path))
+    replace_rows = versions.replace
+
+    def seeing(df, *args, **kwargs):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return replace_rows(df, *args, **kwargs)
+
+    monkeypatch.setattr(versions, "replace", seeing)
+    compact(spark, path)
+    filters = [line for line in seen[0].splitlines() if "StartsWith" in line]
+    assert filters and all("keys-" in line and "cells-" not in line for line in filters)
+    assert before == rows(stored_cells(spark, path)) and len(before) > 20
+    files = stored_cells(spark, path).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
